@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import let
+
 #: The prime of the permutations.
 PRIME = 2**31 - 1
 
@@ -36,10 +39,14 @@ def token_ids(words: Column, size: int = 100_000) -> Column:
 def shingles(words: Column, k: int = 5, most: int = 512) -> Column:
     """Distinct runs of k words; one run for a shorter text; above `most` runs only every n-th is taken, with
     n = (words - k + 1) // most."""
-    n = F.size(words)
-    stride = F.when(n > most + k, F.greatest(F.lit(1), F.floor((n - (k - 1)) / most).cast("int"))).otherwise(1)
-    runs = F.transform(F.sequence(F.lit(0), n - k, stride), lambda i: F.array_join(F.slice(words, i + 1, k), " "))
-    return F.when(n == 0, F.array().cast("array<string>")).when(n < k, F.array(F.array_join(words, " "))).otherwise(F.array_distinct(runs))
+
+    def runs(w: Column) -> Column:
+        n = F.size(w)
+        stride = F.when(n > most + k, F.greatest(F.lit(1), F.floor((n - (k - 1)) / most).cast("int"))).otherwise(1)
+        each = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), n - k), stride), lambda i: F.array_join(F.slice(w, i + 1, k), " "))
+        return F.when(n == 0, F.array().cast("array<string>")).when(n < k, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(each))
+
+    return let(words, runs)
 
 
 def base_hashes(items: Column) -> Column:
@@ -53,12 +60,19 @@ def coefficients(permutations: int = 128, seed: int = 42) -> tuple[list[int], li
     return [draw.randint(1, PRIME - 1) for _ in range(permutations)], [draw.randint(0, PRIME - 1) for _ in range(permutations)]
 
 
-def minhash(hashes: Column, permutations: int = 128, seed: int = 42) -> Column:
-    """Least permuted hash for every permutation; zeros for no hash."""
+def minhash(rows: DataFrame, permutations: int = 128, seed: int = 42) -> DataFrame:
+    """(id, signature) of rows(id, hashes): the least permuted hash for every permutation; zeros for no hash."""
     a, b = (np.array(x, dtype=np.int64)[:, None] for x in coefficients(permutations, seed))
 
-    @F.pandas_udf("array<int>")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda h: [0] * permutations if h is None or len(h) == 0 else ((a * np.asarray(h, dtype=np.int64)[None] + b) % PRIME).min(axis=1).astype(np.int32))
-
-    return run(hashes)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("hashes")
+            flat, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).cumsum()
+            out = np.zeros((batch.num_rows, permutations), dtype=np.int32)
+            for i, (lo, hi) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
+                if hi > lo:
+                    out[i] = ((a * flat[None, lo:hi] + b) % PRIME).min(axis=1)
+            signature = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, permutations), pa.int32()), pa.array(out.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), signature], ["id", "signature"])
+
+    return rows.select("id", "hashes").mapInArrow(run, "id string, signature array<int>")

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions import vocabulary as V
-from millrace.functions.text import CODE_BLOCK, HEADING, WS, code_text, lines, strip, words
+from millrace.functions.text import CODE_BLOCK, HEADING, WS, code_text, let, lines, strip, words
 
 #: Weights of the quality score's parts: technical words, trade-off words, prose, headings, balance of code and prose.
 QUALITY_WEIGHTS = (0.25, 0.25, 0.20, 0.15, 0.15)
@@ -34,50 +34,57 @@ def quality(
 ) -> Column:
     """Struct of quality score (0..1, four digits), bucket, reasons and the parts. A text without words scores 0."""
     found = F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)), lambda w: w.rlike("^[a-z]+$"))
-    n = F.size(found)
-    hits = lambda vocabulary: F.size(F.filter(found, lambda w: w.isin(*[x for x in vocabulary if x.isalpha()])))
-    technical = F.least(F.lit(1.0), hits(tech).cast("double") / n * 15.0)
-    trade = F.least(F.lit(1.0), hits(tradeoff).cast("double") / n * 30.0)
-    prose = _share(F.regexp_count(text, F.lit(rf"[\p{{L}}{WS}]")), F.length(text))
-    heading = F.least(F.lit(1.0), F.regexp_count(text, F.lit(f"(?md)^{HEADING}")).cast("double") / 3.0)
+    hits = lambda ws, vocabulary: F.size(F.filter(ws, lambda w: w.isin(*[x for x in vocabulary if x.isalpha()])))
+    counts = let(found, lambda ws: F.struct(F.size(ws).alias("n"), hits(ws, tech).alias("tech"), hits(ws, tradeoff).alias("trade")))
     code_chars = F.aggregate(F.regexp_extract_all(text, F.lit(CODE_BLOCK), F.lit(0)), F.lit(0), lambda a, b: a + F.length(b))
-    code = _share(code_chars, F.length(text))
-    balance = 1.0 - F.least(F.lit(1.0), code * 1.2)
-    parts = [technical, trade, prose, heading, balance]
-    total = parts[0] * weights[0]
-    for p, w in zip(parts[1:], weights[1:], strict=True):
-        total = total + p * w
-    score = F.when(n == 0, 0.0).otherwise(F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), total)), 4))
-    bucket = F.when(n == 0, "low").when(score >= high, "high").when(score >= low, "medium").otherwise("low")
-    told = F.array_compact(
-        F.array(
-            F.when(technical >= 0.5, "high technical vocabulary density"),
-            F.when(trade >= 0.3, "contains architecture trade-off language"),
-            F.when(prose >= 0.8, "substantial technical prose"),
-            F.when(heading >= 0.3, "structured heading organization"),
-            F.when(code > 0.6, "high code block ratio"),
-        )
-    )
-    poor = F.array(F.lit("low technical prose density"))
-    reasons = F.when(n == 0, F.array(F.lit("Empty or non-text document"))).when((bucket == "low") & (F.size(told) == 0), poor).otherwise(told)
-    names = ("technical", "tradeoff", "prose", "heading", "balance")
-    return F.struct(
-        score.alias("score"), bucket.alias("bucket"), reasons.alias("reasons"), *[F.when(n > 0, F.round(p, 4)).alias(k) for k, p in zip(names, parts, strict=True)]
+    raw = F.struct(
+        counts.alias("c"),
+        _share(F.length(text) - F.length(F.regexp_replace(text, rf"[\p{{L}}{WS}]+", "")), F.length(text)).alias("prose"),
+        F.least(F.lit(1.0), F.regexp_count(text, F.lit(f"(?md)^{HEADING}")).cast("double") / 3.0).alias("heading"),
+        F.when(text.contains("```") | text.contains("[source"), _share(code_chars, F.length(text))).otherwise(0.0).alias("code"),
     )
 
+    def rate(x: Column) -> Column:
+        n = x["c"]["n"]
+        technical = F.least(F.lit(1.0), x["c"]["tech"].cast("double") / n * 15.0)
+        trade = F.least(F.lit(1.0), x["c"]["trade"].cast("double") / n * 30.0)
+        balance = 1.0 - F.least(F.lit(1.0), x["code"] * 1.2)
+        parts = dict(zip(("technical", "tradeoff", "prose", "heading", "balance"), (technical, trade, x["prose"], x["heading"], balance), strict=True))
+        total = technical * weights[0]
+        for p, w in zip(list(parts.values())[1:], weights[1:], strict=True):
+            total = total + p * w
+        score = F.when(n == 0, 0.0).otherwise(F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), total)), 4))
+        return F.struct(score.alias("score"), n.alias("n"), x["code"].alias("code"), *[F.when(n > 0, p).alias(k) for k, p in parts.items()])
+
+    def judge(x: Column) -> Column:
+        bucket = F.when(x["n"] == 0, "low").when(x["score"] >= high, "high").when(x["score"] >= low, "medium").otherwise("low")
+        told = F.array_compact(
+            F.array(
+                F.when(x["technical"] >= 0.5, "high technical vocabulary density"),
+                F.when(x["tradeoff"] >= 0.3, "contains architecture trade-off language"),
+                F.when(x["prose"] >= 0.8, "substantial technical prose"),
+                F.when(x["heading"] >= 0.3, "structured heading organization"),
+                F.when(x["code"] > 0.6, "high code block ratio"),
+            )
+        )
+        poor = F.array(F.lit("low technical prose density"))
+        reasons = F.when(x["n"] == 0, F.array(F.lit("Empty or non-text document"))).when((bucket == "low") & (F.size(told) == 0), poor).otherwise(told)
+        names = ("technical", "tradeoff", "prose", "heading", "balance")
+        return F.struct(x["score"].alias("score"), bucket.alias("bucket"), reasons.alias("reasons"), *[F.round(x[k], 4).alias(k) for k in names])
+
+    return let(let(raw, rate), judge)
+
 
 def domain_relevance(path: Column, title: Column, text: Column) -> Column:
     """Struct (relevant, category): project metadata by path or title, generated link indexes, bare install notes."""
     path, title = F.lower(F.coalesce(path, F.lit(""))), F.lower(F.coalesce(title, F.lit("")))
-    every = lines(text)
-    n = F.size(every)
-    links = F.size(F.filter(every, lambda x: x.startswith("- [") | x.startswith("* [") | x.startswith("1. [")))
+    listed = lambda every: F.size(F.filter(every, lambda x: x.startswith("- [") | x.startswith("* [") | x.startswith("1. [")))
     metadata = path.rlike("|".join(V.METADATA_PATHS)) | title.rlike("|".join(V.METADATA_TITLES))
-    dump = (n > 10) & (links.cast("double") / n > 0.85)
+    dump = let(lines(text), lambda every: (F.size(every) > 10) & (listed(every).cast("double") / F.size(every) > 0.85))
     command = text.contains("apt-get") | text.contains("brew install") | text.contains("docker run")
     install = (title.startswith("installation") | title.contains("how to install")) & (F.size(words(text)) < 200) & command
     category = F.when(metadata, "project_metadata").when(dump, "generated_index").when(install, "installation_only")
-    return F.struct(category.isNull().alias("relevant"), category.alias("category"))
+    return let(category, lambda c: F.struct(c.isNull().alias("relevant"), c.alias("category")))
 
 
 def occurrences(text: Column, phrases: Sequence[str]) -> Column:
@@ -95,55 +102,72 @@ def reasoning_relevance(
 
     Labels of a decision record count on lines of their own; with `heading_labels` also in headings.
     """
-    low = F.lower(text)
-    n = F.greatest(F.lit(1), F.regexp_count(low, F.lit(r"(?<![\p{L}\p{N}_])[a-z](?:[a-z-]*[a-z])?(?![\p{L}\p{N}_])")))
-    every = lines(text)
-    rows = F.size(every)
-    hits = occurrences(low, signals)
-    signal = F.least(F.lit(1.0), hits / F.greatest(F.lit(2.0), n / F.lit(85.0)))
-    ends = F.regexp_count(text, F.lit(f"[.!?](?:[{WS}]|\\z)"))
-    prose = F.least(F.lit(1.0), ends / F.greatest(F.lit(1.0), rows * F.lit(0.35)))
-    structure = F.least(F.lit(1.0), F.size(F.filter(every, lambda x: x.rlike(f"^(?:#{{1,6}}[{WS}]|={{1,6}}[{WS}])"))) / F.lit(3.0))
-    labels = F.lit(0)
-    for label in V.RECORD_LABELS:
-        own = f"(?imd)^{label}[{WS}]*$" + (rf"|^#{{1,6}}[{WS}]+{label}(?![\p{{L}}\p{{N}}_])" if heading_labels else "")
-        labels = labels + text.rlike(own).cast("int")
-    record = F.least(F.lit(1.0), labels / F.lit(3.0))
-    links = F.regexp_count(text, F.lit(r"https?://|\[[^\]]+\]\([^)]*\)")) / F.greatest(F.lit(1), rows)
-    code = F.least(F.lit(1.0), F.size(F.filter(every, lambda x: x.startswith("```"))) / F.greatest(F.lit(1), rows))
-    score = 0.38 * signal + 0.25 * prose + 0.18 * structure + 0.19 * record - (0.25 * F.least(F.lit(1.0), links / max(max_links, 0.001)) + 0.20 * code)
-    score = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), 4)
-    passed = (score >= min_score) & (links <= max_links)
-    return F.struct(score.alias("score"), passed.alias("passed"), F.round(links, 4).alias("link_ratio"), F.round(prose, 4).alias("prose_density"), hits.alias("signals"))
+    def measure(x: Column) -> Column:
+        low, every = x["low"], x["every"]
+        rows = F.size(every)
+        n = F.greatest(F.lit(1), F.regexp_count(low, F.lit(r"(?<![\p{L}\p{N}_])[a-z](?:[a-z-]*[a-z])?(?![\p{L}\p{N}_])")))
+        labels = F.lit(0)
+        for label in V.RECORD_LABELS:
+            own = f"(?imd)^{label}[{WS}]*$" + (rf"|^#{{1,6}}[{WS}]+{label}(?![\p{{L}}\p{{N}}_])" if heading_labels else "")
+            labels = labels + (low.contains(label) & text.rlike(own)).cast("int")
+        marks = F.size(F.filter(every, lambda x: x.rlike(f"^(?:#{{1,6}}[{WS}]|={{1,6}}[{WS}])")))
+        links = F.when(text.contains("http") | text.contains("]("), F.regexp_count(text, F.lit(r"https?://|\[[^\]]+\]\([^)]*\)"))).otherwise(0)
+        return F.struct(
+            n.alias("n"), rows.alias("rows"), occurrences(low, signals).alias("hits"), F.regexp_count(text, F.lit(f"[.!?](?:[{WS}]|\\z)")).alias("ends"),
+            marks.alias("heads"), labels.alias("labels"), links.alias("links"), F.size(F.filter(every, lambda x: x.startswith("```"))).alias("codes"),
+        )
+
+    def rate(x: Column) -> Column:
+        most = lambda c: F.least(F.lit(1.0), c)
+        rows = F.greatest(F.lit(1), x["rows"])
+        signal = most(x["hits"] / F.greatest(F.lit(2.0), x["n"] / F.lit(85.0)))
+        prose = most(x["ends"] / F.greatest(F.lit(1.0), x["rows"] * F.lit(0.35)))
+        link_ratio = x["links"] / rows
+        score = 0.38 * signal + 0.25 * prose + 0.18 * most(x["heads"] / F.lit(3.0)) + 0.19 * most(x["labels"] / F.lit(3.0))
+        score = score - (0.25 * most(link_ratio / max(max_links, 0.001)) + 0.20 * most(x["codes"] / rows))
+        return F.struct(F.round(F.greatest(F.lit(0.0), most(score)), 4).alias("score"), link_ratio.alias("links"), prose.alias("prose"), x["hits"].alias("hits"))
+
+    def judge(x: Column) -> Column:
+        passed = (x["score"] >= min_score) & (x["links"] <= max_links)
+        return F.struct(
+            x["score"].alias("score"), passed.alias("passed"), F.round(x["links"], 4).alias("link_ratio"), F.round(x["prose"], 4).alias("prose_density"), x["hits"].alias("signals")
+        )
+
+    return let(let(let(F.struct(F.lower(text).alias("low"), lines(text).alias("every")), measure), rate), judge)
 
 
 def code_share(text: Column, most: float = 0.70) -> Column:
     """Struct of total, code and prose tokens, the code ratio, and whether code dominates a text of over 200 tokens."""
-    total, code = python_tokens(text), python_tokens(code_text(text))
-    ratio = code / F.greatest(F.lit(1), total)
-    return F.struct(
-        total.alias("total_tokens"),
-        code.alias("code_tokens"),
-        F.greatest(F.lit(0), total - code).alias("prose_tokens"),
-        F.round(ratio, 4).alias("code_ratio"),
-        ((ratio > most) & (total > 200)).alias("dominated"),
-    )
+    marked = text.contains("```") | text.contains("[source")
+    both = F.struct(python_tokens(text).alias("total"), F.when(marked, python_tokens(code_text(text))).otherwise(F.lit(0).cast("long")).alias("code"))
+
+    def judge(x: Column) -> Column:
+        ratio = x["code"] / F.greatest(F.lit(1), x["total"])
+        return F.struct(
+            x["total"].alias("total_tokens"), x["code"].alias("code_tokens"), F.greatest(F.lit(0), x["total"] - x["code"]).cast("long").alias("prose_tokens"),
+            F.round(ratio, 4).alias("code_ratio"), ((ratio > most) & (x["total"] > 200)).alias("dominated"),
+        )
+
+    return let(both, judge)
 
 
 def gate_reasons(text: Column, lang: Column, source: Column, chars: int = 80, least_words: int = 15, languages: Sequence[str] = ("en",), symbols: float = 0.40) -> Column:
     """Why the quality gate rejects a document; empty if it passes. A null language or source is rejected."""
-    t = strip(text)
-    solid = F.regexp_count(t, F.lit(f"[^{WS}]"))
-    share = (solid - F.regexp_count(t, F.lit(r"[\p{L}\p{N}_]"))) / solid
-    return F.array_compact(
-        F.array(
-            F.when(F.length(t) < chars, "short_chars"),
-            F.when(F.size(words(t)) < least_words, "short_words"),
-            F.when(~F.coalesce(lang.isin(*languages), F.lit(False)), "language"),
-            F.when(strip(F.coalesce(source, F.lit(""))) == "", "provenance"),
-            F.when((solid > 0) & (share > symbols), "symbols"),
+    def judge(t: Column, dense: Column) -> Column:
+        solid = F.length(dense)
+        share = F.length(F.regexp_replace(dense, r"[\p{L}\p{N}_]+", "")) / solid
+        return F.array_compact(
+            F.array(
+                F.when(F.length(t) < chars, "short_chars"),
+                F.when(F.size(words(t)) < least_words, "short_words"),
+                F.when(~F.coalesce(lang.isin(*languages), F.lit(False)), "language"),
+                F.when(strip(F.coalesce(source, F.lit(""))) == "", "provenance"),
+                F.when((solid > 0) & (share > symbols), "symbols"),
+            )
         )
-    )
+
+    dense = F.regexp_replace(text, f"[{WS}]+", "")
+    return let(F.struct(strip(text).alias("t"), dense.alias("dense")), lambda x: judge(x["t"], x["dense"]))
 
 
 def license_of(text: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions import vocabulary as V
+from millrace.functions.text import let
 
 CONCEPTS = sorted(V.CONCEPT_PHRASES)
 
@@ -30,10 +31,25 @@ def normalize_concept(value: Column, phrases: Mapping[str, Sequence[str]] = V.CO
     return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[slug]
 
 
+def _names(low: Column, phrase: str) -> Column:
+    """Whether the text has the phrase; the costly pattern is tried only if the phrase's longest word occurs at all."""
+    longest = max(re.split(r"[-_\s]+", phrase), key=len)
+    return low.contains(longest) & low.rlike(phrase_pattern(phrase))
+
+
 def concepts(text: Column, phrases: Mapping[str, Sequence[str]] = V.CONCEPT_PHRASES) -> Column:
     """Sorted concepts that the text names."""
-    low = F.lower(text)
-    return F.array_compact(F.array(*[F.when(low.rlike("|".join(map(phrase_pattern, forms(c, phrases)))), c) for c in sorted(phrases)]))
+
+    def found(low: Column) -> Column:
+        tests = []
+        for c in sorted(phrases):
+            hit = _names(low, c)
+            for p in phrases[c]:
+                hit = hit | _names(low, p)
+            tests.append(F.when(hit, c))
+        return F.array_compact(F.array(*tests))
+
+    return let(F.lower(text), found)
 
 
 def candidates(text: Column) -> Column:
@@ -52,9 +68,11 @@ def classify(text: Column, found: Column, hint: Column, signals: Mapping[str, Se
     for c in V.CATEGORIES:
         own = F.size(F.array_intersect(found, F.array(*[F.lit(x) for x in signals[c]]))) * 3.0 if c in signals else F.lit(0.0)
         scores.append(F.struct((-(own + low.contains(c.replace("_", " ")).cast("double") + (hint == c).cast("double") * 0.5)).alias("minus"), F.lit(c).alias("name")))
-    ordered = F.array_sort(F.array(*scores))
-    total = F.aggregate(ordered, F.lit(0.0), lambda a, x: a - x["minus"])
-    best = ordered[0]
-    return F.when(total == 0, F.struct(F.lit("software_architecture").alias("category"), F.lit(0.0).alias("confidence"))).otherwise(
-        F.struct(best["name"].alias("category"), F.round(-best["minus"] / total, 3).alias("confidence"))
-    )
+
+    def pick(ordered: Column) -> Column:
+        total = F.aggregate(ordered, F.lit(0.0), lambda a, x: a - x["minus"])
+        none = F.struct(F.lit("software_architecture").alias("category"), F.lit(0.0).alias("confidence"))
+        best = F.struct(ordered[0]["name"].alias("category"), F.round(-ordered[0]["minus"] / total, 3).alias("confidence"))
+        return F.when(total == 0, none).otherwise(best)
+
+    return let(F.array_sort(F.array(*scores)), pick)

@@ -6,7 +6,7 @@ Null text gives null unless stated otherwise; white space is what Python counts
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -23,6 +23,11 @@ HEADING = r"(?:#{1,6}[" + WS + r"]+|={1,6}[" + WS + r"]+)"
 CODE_BLOCK = r"(?s)```.*?```|\[source[^\]]*\][" + WS + r"]*----.*?----"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often the function mentions it, also inside its lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
 def strip(c: Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+\\z", "")

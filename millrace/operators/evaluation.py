@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import vocabulary as V
-from millrace.functions.text import strip, words
+from millrace.functions.text import let, strip, words
 
 DIMENSIONS = [
     "driver_identification", "nfr_coverage", "architecture_choice_quality", "tradeoff_quality", "alternative_analysis", "risk_identification",
@@ -80,9 +80,16 @@ def plain_words(text: Column) -> Column:
 
 def repeats(text: Column, span: int = 8, least: int = 16) -> Column:
     """Whether a text of at least `least` words has a run of `span` words twice."""
-    w = plain_words(text)
-    runs = F.transform(F.sequence(F.lit(1), F.size(w) - (span - 1)), lambda i: F.array_join(F.slice(w, i, span), " "))
-    return F.when(F.size(w) < least, False).otherwise(F.size(runs) > F.size(F.array_distinct(runs)))
+    def twice(w: Column) -> Column:
+        runs = word_runs(w, span)
+        return F.when(F.size(w) < least, False).otherwise(let(runs, lambda r: F.size(r) > F.size(F.array_distinct(r))))
+
+    return let(plain_words(text), twice)
+
+
+def word_runs(w: Column, span: int) -> Column:
+    """Runs of `span` consecutive words, in order."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - (span - 1))), lambda i: F.array_join(F.slice(w, i, span), " "))
 
 
 def _longest_run(a: list[str], b: list[str]) -> int:
@@ -99,19 +106,23 @@ def _longest_run(a: list[str], b: list[str]) -> int:
 def echoes(response: Column, source: Column, run: int = 12, share: float = 0.35, least: int = 16) -> Column:
     """Whether the response copies at least `run` consecutive words of its prompt that make `share` of it.
 
-    Only pairs that share a run of that length at all reach the dynamic program in Python."""
-    a, b = plain_words(response), plain_words(source)
-    runs = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (run - 1)), lambda i: F.array_join(F.slice(w, i, run), " "))
-    long = (F.size(a) >= least) & (F.size(b) >= run)
-    possible = long & F.when(long, F.arrays_overlap(runs(a), runs(b))).otherwise(False)
-
-    @F.pandas_udf("int")
-    def longest(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for x, y in batches:
-            yield pd.Series([0 if p is None or q is None else _longest_run(list(p), list(q)) for p, q in zip(x, y, strict=True)])
-
-    n = longest(F.when(possible, a), F.when(possible, b))
-    return possible & (n >= run) & (n / F.size(a) >= share)
+    Only pairs that share a run of that length at all reach the dynamic program."""
+
+    @F.pandas_udf("boolean")
+    def copied(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for answers, prompts in batches:
+            out = []
+            for p, q in zip(answers, prompts, strict=True):
+                if p is None or q is None or len(p) < least or len(q) < run:
+                    out.append(False)
+                    continue
+                p, q = list(p), list(q)
+                known = {tuple(q[i : i + run]) for i in range(len(q) - run + 1)}
+                possible = any(tuple(p[i : i + run]) in known for i in range(len(p) - run + 1))
+                out.append(possible and _longest_run(p, q) / len(p) >= share)
+            yield pd.Series(out, dtype="bool")
+
+    return copied(plain_words(response), plain_words(source))
 
 
 def behaviour(rows: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ class NearDuplicates:
     def signatures(self, docs: DataFrame) -> DataFrame:
         """(id, signature) of docs(id, text); texts without words have a signature of zeros."""
         words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-        return docs.select("id", minhash(base_hashes(shingles(words, self.shingle, self.most_shingles)), self.permutations, self.seed).alias("signature"))
+        return minhash(docs.select("id", base_hashes(shingles(words, self.shingle, self.most_shingles)).alias("hashes")), self.permutations, self.seed)
 
     def buckets(self, signatures: DataFrame) -> DataFrame:
         """(id, band, key) of every signature's bands."""

@@ -287,8 +287,9 @@ def x15_concepts(spark, sf):
 
 @query
 def x16_classify(spark, sf):
-    c = semantic.classify(F.col("text"), semantic.concepts(F.col("text")), F.col("category_hint"))
-    return _rows(spark, sf).select("ord", c["category"].alias("primary_category"), c["confidence"].alias("confidence"))
+    found = _rows(spark, sf).withColumn("found", semantic.concepts(F.col("text")))
+    c = semantic.classify(F.col("text"), F.col("found"), F.col("category_hint"))
+    return found.select("ord", c["category"].alias("primary_category"), c["confidence"].alias("confidence"))
 
 
 def _evaluated(spark, sf) -> DataFrame:
@@ -358,7 +359,7 @@ def d8_near_duplicates(spark, sf):
 
 @query
 def d6_components(spark, sf):
-    links = _docs(spark, sf).select(F.concat(F.lit("s:"), "source_id").alias("u"), F.concat(F.lit("c:"), F.col("related_concepts")[0], F.lit("/"), "license_id").alias("v"))
+    links = _docs(spark, sf).select(F.concat(F.lit("s:"), "source_id").alias("u"), F.concat(F.lit("c:"), F.get("related_concepts", 0), F.lit("/"), "license_id").alias("v"))
     return merge_components(None, links.filter("v is not null"))
 
 
@@ -490,9 +491,9 @@ def a22_sample_distribution(spark, sf):
 def a23_benchmark_scores(spark, sf):
     e = _evaluated(spark, sf)
     scores = F.create_map(*[x for d in evaluation.DIMENSIONS for x in (F.lit(d), F.col(d))])
-    dims = e.select(F.explode(scores).alias("value", "score")).groupBy("value").agg(F.round(F.avg("score"), 4).alias("mean")).select(F.lit("dimension").alias("by"), "value", "mean")
-    by = lambda c: e.groupBy(F.col(c).alias("value")).agg(F.round(F.avg("overall"), 4).alias("mean")).select(F.lit(c).alias("by"), "value", "mean")
-    rates = e.agg(F.round(F.avg("overall"), 4).alias("overall"), F.round(F.avg((F.col("claims") > 0).cast("double")), 4).alias("claim_rate"), F.round(F.avg((F.col("revisits") > 0).cast("double")), 4).alias("revisit_rate"))
+    dims = e.select(F.explode(scores).alias("value", "score")).groupBy("value").agg(F.round(analytics.exact_mean(F.col("score")), 4).alias("mean")).select(F.lit("dimension").alias("by"), "value", "mean")
+    by = lambda c: e.groupBy(F.col(c).alias("value")).agg(F.round(analytics.exact_mean(F.col("overall")), 4).alias("mean")).select(F.lit(c).alias("by"), "value", "mean")
+    rates = e.agg(F.round(analytics.exact_mean(F.col("overall")), 4).alias("overall"), F.round(F.avg((F.col("claims") > 0).cast("double")), 4).alias("claim_rate"), F.round(F.avg((F.col("revisits") > 0).cast("double")), 4).alias("revisit_rate"))
     total = rates.select(F.lit("all").alias("by"), F.explode(F.create_map(F.lit("overall"), F.col("overall"), F.lit("claim_rate"), F.col("claim_rate"), F.lit("revisit_rate"), F.col("revisit_rate"))).alias("value", "mean"))
     return by("category").unionByName(by("difficulty")).unionByName(dims).unionByName(total)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import fnmatch
 import re
 from collections.abc import Sequence
 
@@ -15,11 +14,25 @@ from millrace.functions import vocabulary as V
 DEFAULT_SUFFIXES = ("md", "markdown", "txt", "adoc", "rst")
 
 
-def glob_regex(pattern: str) -> str:
-    """Java pattern of a shell pattern whose `*` also crosses folders, anchored at both ends."""
-    body = fnmatch.translate(pattern)
-    body = re.sub(r"\(\?>(.*?)\)", r"(?:\1)", body)
-    return body.replace("(?s:", "(?s:").replace(r"\Z", r"\z")
+def glob_regex(pattern: str, within: bool = False) -> str:
+    """Java pattern of a shell pattern, anchored at both ends; its `*` crosses folders. With `within` the pattern may
+    begin at any folder and `*` stays inside one."""
+    out, i = "", 0
+    while i < len(pattern):
+        c = pattern[i]
+        close = pattern.find("]", i + 2)
+        if c == "*":
+            out += "[^/]*" if within else ".*"
+        elif c == "?":
+            out += "[^/]" if within else "."
+        elif c == "[" and close > 0:
+            body = pattern[i + 1 : close]
+            out += "[" + ("^" + body[1:] if body[0] == "!" else body).replace("\\", "\\\\") + "]"
+            i = close
+        else:
+            out += re.escape(c)
+        i += 1
+    return (r"(?s)(?:\A|/)" if within else r"(?s)\A") + re.sub(r"(?:\.\*){2,}", ".*", out) + r"\z"
 
 
 def forms(pattern: str) -> list[str]:
@@ -31,7 +44,7 @@ def allowed(path: Column, include: Sequence[str] | None = None, exclude: Sequenc
     """Whether a relative path is read: excluded patterns and benchmark folders never; else if a pattern includes the
     path or its file name, or, without include patterns, if the suffix is a text suffix."""
     name = F.substring_index(path, "/", -1)
-    hit = lambda p: path.rlike(glob_regex(p)) | name.rlike(glob_regex(p)) | path.rlike(r"(?:^|/)" + glob_regex(p).replace("(?s:", "(?s:", 1))
+    hit = lambda p: path.rlike(glob_regex(p)) | name.rlike(glob_regex(p)) | path.rlike(glob_regex(p, within=True))
     out = benchmark_path(path)
     for p in exclude or ():
         out = out | hit(p)
