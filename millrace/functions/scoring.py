@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions import vocabulary as V
-from millrace.functions.text import CODE_BLOCK, HEADING, WS, code_text, let, lines, strip, words
+from millrace.functions.text import CODE_BLOCK, HEADING, PIECE, WS, code_text, let, lines, strip, words
 
 #: Weights of the quality score's parts: technical words, trade-off words, prose, headings, balance of code and prose.
 QUALITY_WEIGHTS = (0.25, 0.25, 0.20, 0.15, 0.15)
@@ -16,7 +16,7 @@ QUALITY_WEIGHTS = (0.25, 0.25, 0.20, 0.15, 0.15)
 
 def python_tokens(text: Column) -> Column:
     """Token count over all white space that Python knows: blank 0, else max(1, floor(1.3 * words))."""
-    n = F.regexp_count(text, F.lit(f"[^{WS}]+"))
+    n = F.regexp_count(text, F.lit(PIECE))
     return F.when(n > 0, F.greatest(F.lit(1), F.floor(n * F.lit(1.3)))).otherwise(0).cast("long")
 
 

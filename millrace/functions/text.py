@@ -13,7 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space as the body of a character class.
-WS = r"\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WS = r" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The same characters as a string.
+WS_CHARS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+#: A piece free of white space; runs of plain ASCII are recognized without looking at the whole class.
+PIECE = rf"[!-~]+[^{WS}]*|[^{WS}]+"
 #: Characters that end a line.
 BREAKS = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
 LINE_END = rf"\r\n|[{BREAKS}]"
@@ -30,12 +34,12 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def strip(c: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+\\z", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def words(c: Column) -> Column:
     """Pieces free of white space; empty for a blank text."""
-    return F.regexp_extract_all(c, F.lit(f"[^{WS}]+"), F.lit(0))
+    return F.regexp_extract_all(c, F.lit(PIECE), F.lit(0))
 
 
 def lines(c: Column) -> Column:

@@ -86,15 +86,17 @@ def organization() -> Column:
 
 
 def exact_mean(score: Column, digits: int = 4) -> Column:
-    """Mean of scores of so many digits, added up as integers, so that the order of addition cannot change it."""
-    return F.sum(F.round(score * 10.0**digits).cast("long")) / F.count(score) / 10.0**digits
+    """Mean of scores of so many digits, rounded half up to as many; computed in integers, so that neither the order of
+    addition nor binary fractions can change it."""
+    total, n = F.sum(F.round(score * 10.0**digits).cast("long")), F.count(score)
+    return F.floor((2 * total + n) / (2 * n)) / 10.0**digits
 
 
 def source_quality(scored: DataFrame) -> DataFrame:
     """Per source: mean document score, share of documents in the high bucket, and the source's own bucket."""
     out = scored.groupBy("source_id").agg(exact_mean(F.col("score")).alias("m"), F.avg((F.col("bucket") == "high").cast("double")).alias("h"), F.count("*").alias("documents"))
     bucket = F.when(F.col("m") >= 0.70, "high").when(F.col("m") >= 0.45, "medium").otherwise("low")
-    return out.select("source_id", F.round("m", 4).alias("score"), F.round("h", 4).alias("high_ratio"), bucket.alias("bucket"), "documents")
+    return out.select("source_id", F.col("m").alias("score"), F.round("h", 4).alias("high_ratio"), bucket.alias("bucket"), "documents")
 
 
 def _unit() -> Column:

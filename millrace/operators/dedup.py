@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import WS, dedup_key, let, normalized
+from millrace.functions.text import PIECE, WS, dedup_key, let, normalized
 
 
 def exact_duplicates(docs: DataFrame, order: Sequence[Column], id_column: str = "id") -> DataFrame:
@@ -29,7 +29,7 @@ def ngrams(text: Column, n: int = 4) -> Column:
         each = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - (n - 1))), lambda i: F.array_join(F.slice(w, i, n), " "))
         return F.when(F.size(w) == 0, F.array().cast("array<string>")).when(F.size(w) < n, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(each))
 
-    return let(F.regexp_extract_all(F.lower(text), F.lit(f"[^{WS}]+"), F.lit(0)), runs)
+    return let(F.regexp_extract_all(F.lower(text), F.lit(PIECE), F.lit(0)), runs)
 
 
 def contamination(docs: DataFrame, samples: DataFrame, threshold: float = 0.50, n: int = 4) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scoring import python_tokens
 from millrace.functions.semantic import classify, concepts
-from millrace.functions.text import HEADING, WS, content_hash, sections, strip
+from millrace.functions.text import HEADING, PIECE, WS, content_hash, sections, strip
 
 
 def _pack(paragraphs: Column, cost, limit: int, joined: bool) -> Column:
@@ -44,7 +44,7 @@ def sectionize(docs: DataFrame, limit: int = 2400) -> DataFrame:
     whole = python_tokens(F.col("text")) <= limit
     first = lambda part: F.regexp_extract(part, r"\A[^\n]*", 0)
     heading = lambda part: F.when(first(part).rlike(f"^{HEADING}"), strip(F.regexp_replace(first(part), f"^{HEADING}", "")))
-    words = lambda p: F.regexp_count(p, F.lit(f"[^{WS}]+")).cast("long")
+    words = lambda p: F.regexp_count(p, F.lit(PIECE)).cast("long")
     kept = F.filter(F.transform(sections(F.col("text")), strip), lambda p: p != "")
     chunks = lambda p: _pack(F.split(p, "\n{2,}"), words, limit, joined=True)
     parts = F.flatten(F.transform(kept, lambda p: F.transform(chunks(p), lambda c: F.struct(heading(p).alias("title"), c.alias("text")))))
@@ -88,34 +88,36 @@ def merge_sections(parts: DataFrame, limit: int = 2400) -> DataFrame:
 
     Sections are related if they share a concept, or have the same category and at least one of them a concept. A run
     grows while the next section follows directly, is related to the run so far and fits the limit; the run is
-    classified again after every merge. The fold needs the file's sections in order, so it runs once per file; a file's
-    sections stem from one document, which bounds the group. Categories and concepts of single sections come from
-    columns; only files with several sections reach Python.
+    classified again at the end. The fold streams over the sorted sections with the state of one run, so no file is
+    ever gathered; concepts and categories of the sections come from columns and only they reach Python.
     """
     text = F.col("text")
     marked = parts.withColumn("related_concepts", concepts(text)).withColumn("file", F.sha2(F.concat_ws("\x00", "source_id", F.coalesce("relative_path", F.lit(""))), 256))
     marked = marked.withColumn("primary_category", classify(text, F.col("related_concepts"), F.col("category_hint"))["category"])
-    marked = marked.withColumn("words", F.regexp_count(text, F.lit(f"[^{WS}]+")))
+    marked = marked.withColumn("words", F.regexp_count(text, F.lit(PIECE)))
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g = pd.concat(list(batches)).sort_values(["section_index", "id"])
-        runs: list[dict] = []
-        for row in g.to_dict("records"):
-            last = runs[-1] if runs else None
-            mine = set(row["related_concepts"])
-            if last is not None and row["section_index"] == last["end"] + 1:
-                related = bool(last["concepts"] & mine) or (last["category"] == row["primary_category"] and bool(last["concepts"] or mine))
-                n = last["words"] + row["words"]
-                if related and (max(1, int(n * 1.3)) if n else 0) <= limit:
-                    last["ids"].append(row["id"])
-                    last["concepts"] |= mine
-                    last["words"], last["end"] = n, row["section_index"]
-                    continue
-            runs.append({"ids": [row["id"]], "concepts": mine, "category": row["primary_category"], "words": row["words"], "end": row["section_index"]})
-        yield pd.DataFrame([{"run": r["ids"][0], "id": i, "place": k} for r in runs for k, i in enumerate(r["ids"])], columns=["run", "id", "place"])
+        run: dict = {"file": None}
+        for batch in batches:
+            out = []
+            for row in batch.to_dict("records"):
+                mine = set(row["related_concepts"])
+                n = row["words"]
+                if run["file"] == row["file"] and row["section_index"] == run["end"] + 1:
+                    related = bool(run["concepts"] & mine) or (run["category"] == row["primary_category"] and bool(run["concepts"] or mine))
+                    n = run["words"] + row["words"]
+                    if related and (max(1, int(n * 1.3)) if n else 0) <= limit:
+                        run["concepts"] |= mine
+                        run["words"], run["end"], run["place"] = n, row["section_index"], run["place"] + 1
+                        out.append((run["id"], row["id"], run["place"]))
+                        continue
+                run = {"file": row["file"], "id": row["id"], "concepts": mine, "category": row["primary_category"], "words": row["words"], "end": row["section_index"], "place": 0}
+                out.append((row["id"], row["id"], 0))
+            yield pd.DataFrame(out, columns=["run", "id", "place"])
 
     slim = marked.select("file", "id", "section_index", "related_concepts", "primary_category", "words")
-    runs = slim.groupBy("file").applyInPandas(lambda g: next(fold(iter([g]))), "run string, id string, place long")
+    ordered = slim.repartition("file").sortWithinPartitions("file", "section_index", "id")
+    runs = ordered.mapInPandas(fold, "run string, id string, place long")
     joined = marked.join(runs, "id").groupBy("run").agg(
         F.first("source_id").alias("source_id"),
         F.first("relative_path").alias("relative_path"),

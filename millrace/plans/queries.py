@@ -75,7 +75,7 @@ def freeze_ledger(spark, sf):
 
 @query
 def c1_clean(spark, sf):
-    dirty = F.concat(F.lit("﻿ \r\n"), F.col("text"), F.lit(" \t\r\n\r\n\r\n\r\né\x07end \r"))
+    dirty = F.concat(F.lit("\ufeff \r\n"), F.col("text"), F.lit(" \t\r\n\r\n\r\n\r\né\x07end \r"))
     return _rows(spark, sf).select("ord", F.md5(tx.clean(dirty)).alias("clean_md5"))
 
 
@@ -491,9 +491,9 @@ def a22_sample_distribution(spark, sf):
 def a23_benchmark_scores(spark, sf):
     e = _evaluated(spark, sf)
     scores = F.create_map(*[x for d in evaluation.DIMENSIONS for x in (F.lit(d), F.col(d))])
-    dims = e.select(F.explode(scores).alias("value", "score")).groupBy("value").agg(F.round(analytics.exact_mean(F.col("score")), 4).alias("mean")).select(F.lit("dimension").alias("by"), "value", "mean")
-    by = lambda c: e.groupBy(F.col(c).alias("value")).agg(F.round(analytics.exact_mean(F.col("overall")), 4).alias("mean")).select(F.lit(c).alias("by"), "value", "mean")
-    rates = e.agg(F.round(analytics.exact_mean(F.col("overall")), 4).alias("overall"), F.round(F.avg((F.col("claims") > 0).cast("double")), 4).alias("claim_rate"), F.round(F.avg((F.col("revisits") > 0).cast("double")), 4).alias("revisit_rate"))
+    dims = e.select(F.explode(scores).alias("value", "score")).groupBy("value").agg(analytics.exact_mean(F.col("score")).alias("mean")).select(F.lit("dimension").alias("by"), "value", "mean")
+    by = lambda c: e.groupBy(F.col(c).alias("value")).agg(analytics.exact_mean(F.col("overall")).alias("mean")).select(F.lit(c).alias("by"), "value", "mean")
+    rates = e.agg(analytics.exact_mean(F.col("overall")).alias("overall"), F.round(F.avg((F.col("claims") > 0).cast("double")), 4).alias("claim_rate"), F.round(F.avg((F.col("revisits") > 0).cast("double")), 4).alias("revisit_rate"))
     total = rates.select(F.lit("all").alias("by"), F.explode(F.create_map(F.lit("overall"), F.col("overall"), F.lit("claim_rate"), F.col("claim_rate"), F.lit("revisit_rate"), F.col("revisit_rate"))).alias("value", "mean"))
     return by("category").unionByName(by("difficulty")).unionByName(dims).unionByName(total)
 

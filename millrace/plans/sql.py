@@ -318,8 +318,8 @@ SQL: dict[str, str] = {
         concat_ws(';', CASE WHEN s1 > 0.35 THEN 'source_dominance' END, CASE WHEN c1 > 0.45 THEN 'category_dominance' END, CASE WHEN f1 < 0.1 THEN 'low_category:ai_agent_architecture' END, CASE WHEN f2 < 0.01 THEN 'low_category:system_design' END) AS warnings FROM x""",
     "a7_cap_status": f"""{TOK_DOCS}, t AS ({TOTALS}), g AS (SELECT dimension, max(tokens)::DOUBLE / sum(tokens) AS s FROM t GROUP BY dimension), c AS (SELECT *, CASE dimension WHEN 'source_id' THEN 0.05::DOUBLE ELSE 0.4::DOUBLE END AS cap FROM g)
         SELECT dimension, cap, round(s, 6) AS actual_share, s <= cap + 0.001::DOUBLE AS satisfied FROM c""",
-    "a8_source_quality": f"""WITH {CURRENT}, {QUALITY.replace('{base}', 'docs')}, g AS (SELECT source_id, sum(round(q_score * 10000)::BIGINT)::DOUBLE / count(*) / 10000 AS m, avg((bucket = 'high')::INT) AS h, count(*) AS documents FROM q3 GROUP BY source_id)
-        SELECT source_id, round(m, 4) AS score, round(h, 4) AS high_ratio, CASE WHEN m >= 0.7::DOUBLE THEN 'high' WHEN m >= 0.45::DOUBLE THEN 'medium' ELSE 'low' END AS bucket, documents FROM g""",
+    "a8_source_quality": f"""WITH {CURRENT}, {QUALITY.replace('{base}', 'docs')}, g AS (SELECT source_id, ((2 * sum(round(q_score * 10000)::BIGINT) + count(*)) // (2 * count(*)))::DOUBLE / 10000 AS m, avg((bucket = 'high')::INT) AS h, count(*) AS documents FROM q3 GROUP BY source_id)
+        SELECT source_id, m AS score, round(h, 4) AS high_ratio, CASE WHEN m >= 0.7::DOUBLE THEN 'high' WHEN m >= 0.45::DOUBLE THEN 'medium' ELSE 'low' END AS bucket, documents FROM g""",
     "a9_length_percentiles": f"""{TOK_DOCS}, r AS (SELECT tokens, row_number() OVER (ORDER BY tokens) - 1 AS i, count(*) OVER () AS n FROM d)
         SELECT min(tokens) AS min_tokens, {', '.join(f"max(tokens) FILTER (i = floor({p}::DOUBLE * (n - 1))) AS {k}" for k, p in (('p10', 0.10), ('p25', 0.25), ('median', 0.5), ('p75', 0.75), ('p90', 0.9), ('p95', 0.95), ('p99', 0.99)))},
         max(tokens) AS max_tokens, round(sum(tokens)::DOUBLE / count(*), 2) AS mean_tokens FROM r""",
@@ -353,9 +353,9 @@ SQL: dict[str, str] = {
         count(*) FILTER (coalesce(metadata['verified_license_id'], '') = '' OR license_id IS NULL) AS unverified FROM docs GROUP BY 1""",
     "a21_diagnostics": "SELECT id AS source_id, category, CASE WHEN coalesce(enabled, false) THEN 'active' WHEN contains(coalesce(license_id, ''), 'NC') THEN 'disabled_license_restriction' ELSE 'disabled_user_config' END AS status FROM source_config",
     "a22_sample_distribution": "SELECT 'category' AS dimension, category AS value, count(*) AS samples FROM benchmark_sample GROUP BY 2 UNION ALL SELECT 'difficulty', difficulty, count(*) FROM benchmark_sample GROUP BY 2",
-    "a23_benchmark_scores": f"""WITH {EVALUATED} SELECT 'category' AS by, category AS value, round(sum(round(overall * 10000)::BIGINT)::DOUBLE / count(*) / 10000, 4) AS mean FROM e GROUP BY 2 UNION ALL SELECT 'difficulty', difficulty, round(sum(round(overall * 10000)::BIGINT)::DOUBLE / count(*) / 10000, 4) FROM e GROUP BY 2
-        {' '.join(f"UNION ALL SELECT 'dimension', '{x}', round(sum(round({x} * 10000)::BIGINT)::DOUBLE / count(*) / 10000, 4) FROM e" for x in DIMENSIONS)}
-        UNION ALL SELECT 'all', 'overall', round(sum(round(overall * 10000)::BIGINT)::DOUBLE / count(*) / 10000, 4) FROM e UNION ALL SELECT 'all', 'claim_rate', round(avg((claims > 0)::INT), 4) FROM e UNION ALL SELECT 'all', 'revisit_rate', round(avg((revisits > 0)::INT), 4) FROM e""",
+    "a23_benchmark_scores": f"""WITH {EVALUATED} SELECT 'category' AS by, category AS value, ((2 * sum(round(overall * 10000)::BIGINT) + count(*)) // (2 * count(*)))::DOUBLE / 10000 AS mean FROM e GROUP BY 2 UNION ALL SELECT 'difficulty', difficulty, ((2 * sum(round(overall * 10000)::BIGINT) + count(*)) // (2 * count(*)))::DOUBLE / 10000 FROM e GROUP BY 2
+        {' '.join(f"UNION ALL SELECT 'dimension', '{x}', ((2 * sum(round({x} * 10000)::BIGINT) + count(*)) // (2 * count(*)))::DOUBLE / 10000 FROM e" for x in DIMENSIONS)}
+        UNION ALL SELECT 'all', 'overall', ((2 * sum(round(overall * 10000)::BIGINT) + count(*)) // (2 * count(*)))::DOUBLE / 10000 FROM e UNION ALL SELECT 'all', 'claim_rate', round(avg((claims > 0)::INT), 4) FROM e UNION ALL SELECT 'all', 'revisit_rate', round(avg((revisits > 0)::INT), 4) FROM e""",
     "a30_readiness": f"""WITH s AS (SELECT *, {strip(f"regexp_replace(lower(text), '[{W}]+', ' ', 'g')")} AS t, {three_way('ord::VARCHAR')} AS split FROM corpus_document),
         b AS (SELECT {strip(f"regexp_replace(lower(scenario || ' ' || question), '[{W}]+', ' ', 'g')")} AS t FROM benchmark_sample),
         r AS (SELECT (SELECT count(*) FROM (SELECT id FROM s GROUP BY id HAVING count(DISTINCT split) > 1)) AS id_overlap, (SELECT count(*) FROM (SELECT t FROM s GROUP BY t HAVING count(DISTINCT split) > 1)) AS text_overlap,
