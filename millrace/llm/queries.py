@@ -17,7 +17,8 @@ AUTHOR_PERMILLE = 2
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     cleaned = markup.clean_markup(table(spark, sf, "corpus_document").select("id", "text"))
-    return cleaned.filter("id is not null").select("id", F.explode("kinds").alias("kind")).distinct()
+    # explode_outer: explode would add a filter on the array's size, for which the conversion would run twice
+    return cleaned.filter("id is not null").select("id", F.explode_outer("kinds").alias("kind")).filter("kind is not null").distinct()
 
 
 def p1_clean_text(spark: SparkSession, sf: str) -> DataFrame:
