@@ -89,7 +89,7 @@ def exact_mean(score: Column, digits: int = 4) -> Column:
     """Mean of scores of so many digits, rounded half up to as many; computed in integers, so that neither the order of
     addition nor binary fractions can change it."""
     total, n = F.sum(F.round(score * 10.0**digits).cast("long")), F.count(score)
-    return F.floor((2 * total + n) / (2 * n)) / 10.0**digits
+    return F.floor(F.try_divide(2 * total + n, 2 * n)) / 10.0**digits
 
 
 def source_quality(scored: DataFrame) -> DataFrame:

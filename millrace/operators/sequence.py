@@ -36,7 +36,7 @@ def context_fit(lengths: DataFrame, contexts: Sequence[int] = (512, 1024, 2048,
         F.sum(F.ceil(F.col("tokens") / F.col("context_length"))).alias("sequences"),
         F.sum("tokens").alias("tokens"),
     )
-    return agg.withColumn("filling_pct", F.round(F.coalesce(F.col("tokens") / (F.col("sequences") * F.col("context_length")) * 100, F.lit(0.0)), 2)).drop("tokens")
+    return agg.withColumn("filling_pct", F.round(F.coalesce(F.try_divide("tokens", F.col("sequences") * F.col("context_length")) * 100, F.lit(0.0)), 2)).drop("tokens")
 
 
 def pack_stream(docs: DataFrame, length: int = 2048, eos: int = 0, pad: int | None = None) -> DataFrame:
