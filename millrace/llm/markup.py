@@ -96,6 +96,8 @@ MATH = re.compile(r"[\\^_{}=<>+]|[A-Za-z](?:\([\w, ]+\))?\Z|\d*[A-Za-z]\Z")
 
 #: Words that stand in links or in boilerplate elements.
 NEGATIVE_WORDS = ("link_word", "boiler_word")
+#: Marks that open a heading, list entry, table or quotation.
+OPENING = ("heading", "atx", "wikihead", "li", "table", "tr", "th", "td", "quote", "task")
 #: Added to every count of the labelled pages.
 SMOOTHING = 0.2
 
@@ -373,6 +375,8 @@ def clean_page(page: str | None, weights: Weights | None = None) -> tuple[str |
     if not found:
         return page, []
     a, b = content_region(parts, weights or default_weights())
+    while a and not parts[a - 1].words and parts[a - 1].tag in OPENING:
+        a -= 1  # the mark in front of the region's first words belongs to them
     text = "".join(p.text for p in parts[a:b])
     return BREAKS.sub("\n\n", TRAILING.sub("", text)).strip(), sorted(found)
 

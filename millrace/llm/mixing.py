@@ -56,5 +56,5 @@ def mixture_report(drawn: DataFrame, plan: DataFrame) -> DataFrame:
     """Per mixture and source: pages, tokens and share reached beside the target, and whether the source fell short."""
     got = drawn.groupBy("mixture_id", "source_key").agg(F.count("*").alias("pages"), F.sum(F.col("tokens") * F.col("copies")).alias("tokens"))
     out = plan.join(got, ["mixture_id", "source_key"], "left").fillna(0, ["pages", "tokens"])
-    share = F.col("tokens") / F.sum("tokens").over(Window.partitionBy("mixture_id"))
+    share = F.coalesce(F.try_divide("tokens", F.sum("tokens").over(Window.partitionBy("mixture_id"))), F.lit(0.0))
     return out.select("mixture_id", "source_key", "target_weight", F.round(share, 6).alias("actual_share"), "pages", "tokens", "wanted", "short")

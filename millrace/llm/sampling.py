@@ -92,8 +92,9 @@ def sample_plan(rows: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFra
 
 
 def sample_report(sample: DataFrame, plan: DataFrame) -> DataFrame:
-    """Per target: what was wanted and what the sample holds, with its actual share of the set's tokens."""
+    """Per target: what was wanted and what the sample holds, with its actual share of the set's tokens;
+    0 for an empty sample."""
     got = sample.groupBy("target_set", "category").agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens"))
     out = plan.join(got, ["target_set", "category"], "left").fillna(0, ["documents", "tokens"])
-    share = F.col("tokens") / F.sum("tokens").over(Window.partitionBy("target_set"))
+    share = F.coalesce(F.try_divide("tokens", F.sum("tokens").over(Window.partitionBy("target_set"))), F.lit(0.0))
     return out.select("target_set", "category", "target_share", F.round(share, 6).alias("actual_share"), "documents", "tokens", "met")
