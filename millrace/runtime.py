@@ -30,7 +30,7 @@ def scratch_dir(spark: SparkSession) -> str:
     global _scratch_root
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return configured.rstrip("/") + "/millrace"
+        return f"{configured.rstrip('/')}/millrace-{spark.sparkContext.applicationId}"
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _scratch_root is None:
@@ -67,6 +67,12 @@ def release(*frames: DataFrame | None) -> None:
             target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete all stored tables of this application; to be called when its results have been written."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
