@@ -36,13 +36,13 @@ def token_ids(words: Column, size: int = 100_000) -> Column:
     return F.transform(words, lambda w: hex_number(w, 1, 8).cast("bigint") % size)
 
 
-def shingles(words: Column, k: int = 5, most: int = 512) -> Column:
-    """Distinct runs of k words; one run for a shorter text; above `most` runs only every n-th is taken, with
-    n = (words - k + 1) // most."""
+def shingles(words: Column, k: int = 5, most: int | None = None) -> Column:
+    """Distinct runs of k words; one run for a shorter text. If `most` is given, as in the reference, texts with more
+    runs are sampled: only every n-th is taken, with n = (words - k + 1) // most. A word put in front shifts the sample."""
 
     def runs(w: Column) -> Column:
         n = F.size(w)
-        stride = F.when(n > most + k, F.greatest(F.lit(1), F.floor((n - (k - 1)) / most).cast("int"))).otherwise(1)
+        stride = F.lit(1) if most is None else F.when(n > most + k, F.greatest(F.lit(1), F.floor((n - (k - 1)) / most).cast("int"))).otherwise(1)
         each = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), n - k), stride), lambda i: F.array_join(F.slice(w, i + 1, k), " "))
         return F.when(n == 0, F.array().cast("array<string>")).when(n < k, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(each))
 

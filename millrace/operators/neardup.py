@@ -20,7 +20,7 @@ class NearDuplicates:
     permutations: int = 128
     bands: int = 16
     threshold: float = 0.85
-    most_shingles: int = 512
+    most_shingles: int | None = None
     seed: int = 42
     block: int = 256
 
@@ -88,3 +88,7 @@ class NearDuplicates:
         judged = linked.select("id", "cluster", F.col("best.id").alias("canonical"), "kept", own.alias("own"))
         mean = judged.filter(~F.col("kept")).groupBy("cluster").agg(F.round(F.avg("own"), 4).alias("similarity"))
         return judged.drop("own").join(mean, "cluster", "left").select("id", "cluster", "canonical", "kept", "similarity")
+
+
+#: The parameters of the reference, which samples texts of more than about a thousand words; its SQL has the same.
+REFERENCE = NearDuplicates(most_shingles=512)

@@ -12,7 +12,7 @@ from millrace.functions import text as tx
 from millrace.functions import vocabulary as V
 from millrace.operators import analytics, balance, dedup, evaluation, sections, sequence, split
 from millrace.operators.components import merge_components
-from millrace.operators.neardup import NearDuplicates
+from millrace.operators.neardup import REFERENCE, NearDuplicates
 from millrace.plans import pipelines
 from millrace.plans.sql import SQL
 from millrace.runtime import materialize, table
@@ -264,7 +264,8 @@ def x6_shingles(spark, sf):
 
 @query
 def x8_signatures(spark, sf):
-    s = NearDuplicates().signatures(_docs(spark, sf).select("id", "text"))
+    """Of the reference's parameters, as in the SQL."""
+    s = REFERENCE.signatures(_docs(spark, sf).select("id", "text"))
     return s.select("id", F.md5(F.array_join("signature", ",")).alias("signature_md5"))
 
 
@@ -346,7 +347,8 @@ def d2_ranked_duplicates(spark, sf):
 
 @query
 def d4_near_pairs(spark, sf):
-    n = NearDuplicates()
+    """Of the reference's parameters, as in the SQL; `d8_near_duplicates` compares whole texts."""
+    n = REFERENCE
     s = materialize(n.signatures(_docs(spark, sf).select("id", "text")), "signatures")
     first = s.groupBy("signature").agg(F.min("id").alias("id")).select("id", "signature")
     return n.edges(n.candidates(n.buckets(first)), first)

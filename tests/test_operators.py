@@ -43,6 +43,13 @@ def test_near_duplicates(spark):
         assert got["b"].kept and not got["a"].kept and got["e"].cluster == got["f"].cluster
 
 
+def test_near_duplicates_of_long_texts(spark):
+    base = " ".join(f"word{i}" for i in range(3000))
+    rows = [("a", base, 0.1), ("b", "first " + base, 0.9), ("c", " ".join(f"other{i}" for i in range(3000)), 0.5)]
+    got = {r.id: r.cluster for r in NearDuplicates().run(spark.createDataFrame(rows, "id string, text string, score double")).collect()}
+    assert got == {"a": "a", "b": "a", "c": "c"}
+
+
 def test_contamination_equals_brute_force(spark):
     docs = [(1, "a b c d e f g"), (2, "q r"), (3, None), (4, ""), (5, "a b c d x y z")]
     samples = [(1, "a b c d e f g h"), (2, "q r")]
