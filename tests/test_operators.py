@@ -50,6 +50,28 @@ def test_near_duplicates_of_long_texts(spark):
     assert got == {"a": "a", "b": "a", "c": "c"}
 
 
+def test_near_duplicates_equal_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for g in range(12):
+        base = [f"w{g}_{i}" for i in range(120)]
+        rows.append((f"g{g:02d}a", " ".join(base)))
+        for v in range(4):  # each changed word takes five runs of 116: similarities about 0.73 to 0.96
+            words = list(base)
+            for i in rng.sample(range(5, 115), v % 3 + 1):
+                words[i] = f"x{g}_{v}_{i}"
+            rows.append((f"g{g:02d}v{v}", " ".join(words)))
+    n = NearDuplicates()
+    docs = spark.createDataFrame(rows, "id string, text string")
+    got = {(r.id1, r.id2): r.similarity for r in n.verified(n.candidates(n.buckets(n.signatures(docs))), docs).collect()}
+    runs = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    want = {(a, b): len(runs[a] & runs[b]) / len(runs[a] | runs[b]) for a in runs for b in runs if a < b}
+    want = {k: v for k, v in want.items() if v >= 0.8}
+    assert got == pytest.approx(want) and any(v < 0.85 for v in want.values())
+    kept = NearDuplicates().run(docs.withColumn("score", F.lit(0.5)))
+    assert {r.cluster for r in kept.collect()} <= {f"g{g:02d}a" for g in range(12)} | {i for i, _ in rows if not any(i in k for k in want)}
+
+
 def test_contamination_equals_brute_force(spark):
     docs = [(1, "a b c d e f g"), (2, "q r"), (3, None), (4, ""), (5, "a b c d x y z")]
     samples = [(1, "a b c d e f g h"), (2, "q r")]
