@@ -176,19 +176,38 @@ def manifest(result: Result) -> DataFrame:
     return totals.crossJoin(analytics.fingerprint(kept.select("id", F.col("id").alias("text"), F.lit("").alias("license_id"))))  # one row each
 
 
+def benchmark_overlap(docs: DataFrame, samples: DataFrame) -> DataFrame:
+    """One row: distinct normalized texts of docs(text) that stand anywhere inside a text of samples(text, passages), and
+    distinct sample texts of which a passage stands anywhere inside a document.
+
+    The samples, a few hundred test items, are sent to every task as one row. A passage of six words or more is looked
+    up by its second to fifth word, which are whole words in every document that holds it; shorter ones are searched for.
+    """
+    texts = materialize(docs.select(tx.normalized(F.col("text")).alias("text")).filter("text <> ''").distinct(), "normalized")
+    tests = samples.select(tx.normalized(F.col("text")).alias("t"), "passages").filter("t <> ''")
+    content = tests.select("t").distinct().agg(F.array_join(F.collect_list("t"), "\n").alias("content"), F.max(F.length("t")).alias("longest"))
+    within = texts.join(F.broadcast(content), (F.length("text") <= F.col("longest")) & F.contains("content", "text"), "left_semi")
+    parts = tests.select("t", F.explode("passages").alias("p")).select("t", tx.normalized(F.col("p")).alias("p")).filter("p <> ''").distinct()
+    parts = parts.withColumn("w", F.split("p", " ")).select("t", "p", F.when(F.size("w") >= 6, F.array_join(F.slice("w", 2, 4), " ")).otherwise(F.col("p")).alias("anchor"), (F.size("w") < 6).alias("short"))
+    parts = materialize(parts, "passages")
+    one = parts.agg(F.collect_set(F.when(~F.col("short"), F.col("anchor"))).alias("anchors"), F.collect_set(F.when(F.col("short"), F.col("anchor"))).alias("shorts"))
+    runs = tx.let(F.split("text", " "), lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - 3)), lambda i: F.array_join(F.slice(w, i, 4), " ")))
+    found = F.array_union(F.array_intersect(runs, "anchors"), F.filter("shorts", lambda x: F.contains(F.col("text"), x)))
+    held = texts.crossJoin(F.broadcast(one)).select("text", F.explode(found).alias("anchor")).join(parts, "anchor").filter(F.contains("text", "p"))
+    return within.agg(F.count("*").alias("benchmark_documents")).crossJoin(held.agg(F.count_distinct("t").alias("benchmark_samples")))  # one row each
+
+
 def readiness(docs: DataFrame, samples: DataFrame) -> DataFrame:
-    """One row of blockers of a split corpus: overlap between splits, invalid records, documents within test texts.
+    """One row of blockers of a split corpus: overlap between splits, invalid records, documents inside test texts; and
+    `benchmark_samples`, the test items of which a passage stands inside a document.
 
-    docs(id, text, source_id, category, language, source_url, license_id, split), samples(text).
+    docs(id, text, source_id, category, language, source_url, license_id, split), samples(text, passages).
     """
     leak = dedup.leakage(docs)
     blank = lambda c: F.coalesce(F.trim(F.col(c)), F.lit("")) == ""
     named = F.lower(F.col("source_id")).contains("benchmark") | F.lower(F.coalesce("source_url", F.lit(""))).contains("benchmark")
     invalid = docs.agg(F.count_if(blank("id") | blank("text") | blank("source_id") | blank("category") | blank("language") | blank("source_url") | blank("license_id") | F.coalesce(named, F.lit(False))).alias("invalid_records"))
-    test = samples.select(tx.normalized(F.col("text")).alias("t")).distinct()
-    inside = docs.select(tx.normalized(F.col("text")).alias("text")).filter("text <> ''").distinct()
-    hit = inside.join(test, F.col("t") == F.col("text"), "left_semi").agg(F.count("*").alias("benchmark_documents"))
-    row = leak.crossJoin(invalid).crossJoin(hit)  # one row each
+    row = leak.crossJoin(invalid).crossJoin(benchmark_overlap(docs, samples))  # one row each
     blockers = F.array_compact(F.array(F.when((F.col("id_overlap") > 0) | (F.col("text_overlap") > 0), "split_overlap"), F.when(F.col("invalid_records") > 0, "invalid_records"), F.when(F.col("benchmark_documents") > 0, "benchmark_contamination")))
     return row.withColumn("blockers", blockers)
 

@@ -522,13 +522,24 @@ def a28_packing_statistics(spark, sf):
     return sequence.packing_statistics(_stream(spark, sf))
 
 
-@query
-def a30_readiness(spark, sf):
+def _readiness(spark, sf) -> DataFrame:
     d = _rows(spark, sf).select("id", "text", "source_id", "category", "language", "source_url", "license_id", split.three_way(F.col("ord").cast("string")).alias("split"))
-    s = _samples(spark, sf).select(F.concat_ws(" ", "scenario", "question").alias("text"))
+    whole = F.concat_ws(" ", "scenario", "question", F.array_join("facts", " "), F.array_join("expected_considerations", " "))
+    s = _samples(spark, sf).select(whole.alias("text"), F.array("scenario", "question").alias("passages"))
     return pipelines.readiness(d, s).withColumn("blockers", F.array_join("blockers", ";"))
 
 
+@query
+def a30_readiness(spark, sf):
+    """The columns of the SQL; `a30_readiness_reverse` has the reverse metric too."""
+    return _readiness(spark, sf).drop("benchmark_samples")
+
+
+@query
+def a30_readiness_reverse(spark, sf):
+    return _readiness(spark, sf)
+
+
 # --- order, selection, splits ----------------------------------------------------------------------------------------
 
 

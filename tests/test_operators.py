@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from millrace.operators import analytics, balance, dedup, evaluation, sections, sequence, split
 from millrace.operators.components import merge_components
 from millrace.operators.neardup import NearDuplicates
+from millrace.plans import pipelines
 from millrace.runtime import running_totals
 
 
@@ -72,6 +73,18 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {r.cluster for r in kept.collect()} <= {f"g{g:02d}a" for g in range(12)} | {i for i, _ in rows if not any(i in k for k in want)}
 
 
+def test_readiness_finds_parts_of_samples(spark):
+    samples = [("One team runs a shop on two servers. Which store fits the orders?", ["One team runs a shop on two servers.", "Which store fits the orders?"]), ("Quite another item. Why so?", ["Quite another item.", "Why so?"]), (" ", None)]
+    texts = ["runs a shop\non TWO servers", "Which store fits the orders?", "servers. Which", "a page about boats", "He asked: (Which store fits the orders?) and left", "hm, why so?", None, " "]
+    docs = spark.createDataFrame([(str(i), t, "s", "c", "en", "u", "l", "train") for i, t in enumerate(texts)], "id string, text string, source_id string, category string, language string, source_url string, license_id string, split string")
+    items = spark.createDataFrame(samples, "text string, passages array<string>")
+    row = pipelines.readiness(docs, items).first()
+    assert row.benchmark_documents == 3 and row.benchmark_samples == 2 and "benchmark_contamination" in row.blockers
+    row = pipelines.readiness(docs.filter("id = '3'"), items).first()
+    assert (row.benchmark_documents, row.benchmark_samples, row.blockers) == (0, 0, [])
+    assert pipelines.readiness(docs, items.limit(0)).first().benchmark_documents == 0
+
+
 def test_contamination_equals_brute_force(spark):
     docs = [(1, "a b c d e f g"), (2, "q r"), (3, None), (4, ""), (5, "a b c d x y z")]
     samples = [(1, "a b c d e f g h"), (2, "q r")]
