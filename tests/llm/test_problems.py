@@ -259,6 +259,17 @@ def test_proximity(spark):
     assert [r.doc_id for r in leaks.proximity(leaks.build_index(docs, p), p).collect()] == [1]
 
 
+def test_proximity_of_long_passages_at_every_offset(spark):
+    passage = " ".join(f"p{i}" for i in range(91))
+    items = spark.createDataFrame([(1, passage)], "item_id long, scenario string")
+    far = [f"p{i}" for i in range(91)]
+    rows = [(o, " ".join(["x"] * o + [passage, "y y y"])) for o in range(80)] + [(900, " ".join(w + " z z z" for w in far)), (901, "p1 " * 500)]
+    p = leaks.test_terms(items, ["scenario"])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.words for r in leaks.proximity(leaks.build_index(docs, p), p).collect()}
+    assert got == {o: 91 for o in range(80)}
+
+
 # --- 8 ---
 
 
