@@ -86,8 +86,8 @@ def proximity(index: DataFrame, passages: DataFrame, span: int = 40, share: floa
     """(doc_id, item_id, field, words) of pages that hold at least `share` of a passage's distinct words, in any order,
     within so many consecutive words as twice the passage's length, or twice `span` if that is more.
 
-    Candidates come from the passage's rarest words: a page with `share` of all words has at least one of the three
-    rarest if no more than two may be missing; passages that may miss more take as many rarest words as that. Of pages
+    Candidates come from the passage's rarest words, one more than may be missing, of which every page with `share` of
+    all words has at least one. Of pages
     with enough of the words anywhere, the places are swept: an occurrence counts in the stretches that begin after the
     word's previous occurrence and reach this one, so that every stretch of the page is judged by its distinct words.
     """
@@ -96,19 +96,20 @@ def proximity(index: DataFrame, passages: DataFrame, span: int = 40, share: floa
     per = Window.partitionBy("item_id", "field")
     distinct = distinct.withColumn("rank", F.row_number().over(per.orderBy("n", "term"))).withColumn("all", F.count("*").over(per))
     wide = passages.groupBy("item_id", "field").agg(F.greatest(F.lit(2 * span), 2 * (F.max("place") + 1)).alias("wide"))
+    need = F.ceil(F.round(F.col("all") * share, 6))  # 0.9 * 10 words is 9, not a little more
+    distinct = distinct.withColumn("need", need)
     distinct = materialize(distinct.join(wide, ["item_id", "field"]), "proximity_terms")
-    missing = F.floor(F.col("all") * (1 - share))
-    anchors = distinct.filter((F.col("rank") <= missing + 1) & (F.col("n") > 0)).select("item_id", "field", "term")
+    anchors = distinct.filter((F.col("rank") <= F.col("all") - F.col("need") + 1) & (F.col("n") > 0)).select("item_id", "field", "term")
     pages = index.join(anchors, "term").select("doc_id", "item_id", "field").distinct()
-    want = pages.join(distinct.filter("n > 0").select("item_id", "field", "term", "all", "wide"), ["item_id", "field"])
-    enough = want.join(index.select("doc_id", "term").distinct(), ["doc_id", "term"]).groupBy("doc_id", "item_id", "field").agg(F.count("*").alias("words"), F.first("all").alias("all"))
-    enough = materialize(enough.filter(F.col("words") >= F.col("all") * share).select("doc_id", "item_id", "field"), "proximity_pages")
-    hits = enough.join(distinct.filter("n > 0").select("item_id", "field", "term", "all", "wide"), ["item_id", "field"]).join(index, ["doc_id", "term"])
+    want = pages.join(distinct.filter("n > 0").select("item_id", "field", "term", "need", "wide"), ["item_id", "field"])
+    enough = want.join(index.select("doc_id", "term").distinct(), ["doc_id", "term"]).groupBy("doc_id", "item_id", "field").agg(F.count("*").alias("words"), F.first("need").alias("need"))
+    enough = materialize(enough.filter(F.col("words") >= F.col("need")).select("doc_id", "item_id", "field"), "proximity_pages")
+    hits = enough.join(distinct.filter("n > 0").select("item_id", "field", "term", "need", "wide"), ["item_id", "field"]).join(index, ["doc_id", "term"])
     last = F.lag("place").over(Window.partitionBy("doc_id", "item_id", "field", "term").orderBy("place"))
     begin = F.greatest(last + 1, F.col("place") - F.col("wide") + 1)
-    steps = hits.withColumn("begin", begin).select("doc_id", "item_id", "field", "all", "place", "begin")
+    steps = hits.withColumn("begin", begin).select("doc_id", "item_id", "field", "need", "place", "begin")
     event = F.explode(F.array(F.struct(F.col("begin").alias("at"), F.lit(1).alias("step")), F.struct((F.col("place") + 1).alias("at"), F.lit(-1).alias("step"))))
-    events = steps.select("doc_id", "item_id", "field", "all", event.alias("e")).select("doc_id", "item_id", "field", "all", "e.at", "e.step")
+    events = steps.select("doc_id", "item_id", "field", "need", event.alias("e")).select("doc_id", "item_id", "field", "need", "e.at", "e.step")
     along = Window.partitionBy("doc_id", "item_id", "field").orderBy("at")
-    found = events.withColumn("words", F.sum("step").over(along)).filter(F.col("words") >= F.col("all") * share)
+    found = events.withColumn("words", F.sum("step").over(along)).filter(F.col("words") >= F.col("need"))
     return found.groupBy("doc_id", "item_id", "field").agg(F.max("words").alias("words"))

@@ -270,6 +270,15 @@ def test_proximity_of_long_passages_at_every_offset(spark):
     assert got == {o: 91 for o in range(80)}
 
 
+def test_proximity_without_the_rarest_words(spark):
+    words = [f"p{i}" for i in range(20)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, scenario string")
+    others = [(i, " ".join(words[2:])) for i in range(2, 6)]
+    docs = spark.createDataFrame([(1, "p0 p1"), *others, (9, " ".join(words[3:]))], "doc_id long, text string")
+    p = leaks.test_terms(items, ["scenario"])
+    assert {r.doc_id for r in leaks.proximity(leaks.build_index(docs, p), p).collect()} == {2, 3, 4, 5}
+
+
 # --- 8 ---
 
 
