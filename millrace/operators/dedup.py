@@ -55,12 +55,23 @@ def leakage(docs: DataFrame, split: str = "split") -> DataFrame:
 
 
 def shared_hashes(docs: DataFrame, sources: Sequence[str]) -> DataFrame:
-    """Content hashes that stand in all of the named sources and in no others, with the tokens saved by keeping one."""
+    """Content hashes that stand in all of the named sources, wherever else they stand, with the tokens saved by keeping
+    one of the named sources' documents."""
     own = docs.filter(F.col("source_id").isin(*sources))
     g = own.groupBy("content_sha256").agg(F.collect_set("source_id").alias("s"), F.count("*").alias("documents"), F.sum("tokens").alias("t"), F.max("tokens").alias("one"))
     return g.filter(F.size("s") == len(set(sources))).select("content_sha256", "documents", (F.col("t") - F.col("one")).alias("tokens_saved"))
 
 
+def shared_clusters(docs: DataFrame, near: DataFrame, sources: Sequence[str]) -> DataFrame:
+    """Clusters of near duplicates whose documents come from all of the named sources and from no others, with the tokens
+    of the documents that were removed. docs(id, source_id, tokens), near(id, cluster, kept)."""
+    g = near.join(docs.select("id", "source_id", "tokens"), "id").groupBy("cluster").agg(
+        F.collect_set(F.when(F.col("source_id").isin(*sources), F.col("source_id"))).alias("s"), F.max((~F.coalesce(F.col("source_id").isin(*sources), F.lit(False))).cast("int")).alias("other"),
+        F.count("*").alias("documents"), F.coalesce(F.sum(F.when(~F.col("kept"), F.col("tokens"))), F.lit(0)).alias("tokens_saved"),
+    )
+    return g.filter((F.size("s") == len(set(sources))) & (F.col("other") == 0)).select("cluster", "documents", "tokens_saved")
+
+
 def first_in_order(docs: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first n rows of every group."""
     w = Window.partitionBy(*keys).orderBy(*order)

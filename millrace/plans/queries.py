@@ -377,10 +377,26 @@ def d11_leakage(spark, sf):
     return dedup.leakage(_rows(spark, sf).select("id", "text", split.three_way(F.col("ord").cast("string")).alias("split")))
 
 
+#: The sources that are compared.
+EDITIONS = ["beacon_design_wiki", "mesh_proposals"]
+
+
 @query
 def d12_cross_source(spark, sf):
+    """Section titles that both sources have, as in the SQL; `d12_cross_texts` compares the texts."""
     d = _docs(spark, sf).select("source_id", "tokens", F.md5("section_title").alias("content_sha256"))
-    return dedup.shared_hashes(d, ["beacon_design_wiki", "mesh_proposals"])
+    return dedup.shared_hashes(d, EDITIONS)
+
+
+@query
+def d12_cross_texts(spark, sf):
+    """Whole texts that both sources have, and clusters of near duplicates of all documents, exact copies taken out
+    first, that span exactly the two."""
+    d = _docs(spark, sf).select("id", "source_id", "text", "tokens", F.col("tokens").cast("double").alias("score"))
+    same = dedup.shared_hashes(d.withColumn("content_sha256", tx.content_hash(F.col("text"))), EDITIONS)
+    unique = materialize(dedup.exact_duplicates(d, [F.col("id")]).filter("kept").select("id", "source_id", "text", "tokens", "score"), "unique_texts")
+    near = dedup.shared_clusters(unique, NearDuplicates().run(unique.select("id", "text", "score")), EDITIONS)
+    return same.select(F.lit("text").alias("kind"), F.col("content_sha256").alias("key"), "documents", "tokens_saved").unionByName(near.select(F.lit("cluster").alias("kind"), F.col("cluster").alias("key"), "documents", "tokens_saved"))
 
 
 # --- aggregates ------------------------------------------------------------------------------------------------------

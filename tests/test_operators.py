@@ -73,6 +73,16 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {r.cluster for r in kept.collect()} <= {f"g{g:02d}a" for g in range(12)} | {i for i, _ in rows if not any(i in k for k in want)}
 
 
+def test_texts_and_clusters_of_two_sources(spark):
+    sources = ["one", "two"]
+    rows = [("a", "one", "x", 5), ("b", "two", "x", 4), ("c", "three", "x", 9), ("d", "one", "y", 1), ("e", "one", "y", 1)]
+    d = spark.createDataFrame(rows, "id string, source_id string, content_sha256 string, tokens long")
+    assert [tuple(r) for r in dedup.shared_hashes(d, sources).collect()] == [("x", 2, 4)]
+    near = spark.createDataFrame([("a", "a", True), ("b", "a", False), ("c", "c", True), ("d", "c", False), ("e", "e", True)], "id string, cluster string, kept boolean")
+    assert [tuple(r) for r in dedup.shared_clusters(d, near, sources).collect()] == [("a", 2, 4)]
+    assert dedup.shared_clusters(d, near.withColumn("cluster", F.lit("a")), sources).count() == 0
+
+
 def test_readiness_finds_parts_of_samples(spark):
     samples = [("One team runs a shop on two servers. Which store fits the orders?", ["One team runs a shop on two servers.", "Which store fits the orders?"]), ("Quite another item. Why so?", ["Quite another item.", "Why so?"]), (" ", None)]
     texts = ["runs a shop\non TWO servers", "Which store fits the orders?", "servers. Which", "a page about boats", "He asked: (Which store fits the orders?) and left", "hm, why so?", None, " "]
