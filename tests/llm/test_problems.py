@@ -209,6 +209,14 @@ def test_splits_persist_and_conflicts_are_quarantined(spark, tmp_path):
     assert all(second[i] == s for i, s in first.items() if rows[int(i[1:])][2] not in (train, held))
 
 
+def test_new_components_fill_the_split_that_lacks(spark):
+    sizes = [("old_t", 1700), ("old_v", 100)] + [(f"new{i:02d}", 10) for i in range(20)]
+    earlier = spark.createDataFrame([("old_t", "train"), ("old_v", "validation")], "component string, split string")
+    got = grouped_split.assign_splits(spark.createDataFrame(sizes, "component string, documents long"), earlier)
+    by = {r["split"]: r["n"] for r in got.groupBy("split").agg(F.sum("documents").alias("n")).collect()}
+    assert by == {"train": 1800, "validation": 100, "heldout": 100} and got.count() == len(sizes)
+
+
 # --- 6 ---
 
 
