@@ -359,10 +359,15 @@ def d8_near_duplicates(spark, sf):
     return NearDuplicates().run(_docs(spark, sf).select("id", "text", F.col("quality_score").alias("score")))
 
 
+def _concept_links(docs) -> DataFrame:
+    """Links of a document's source with every one of its concepts under its license."""
+    each = docs.select("source_id", "license_id", F.explode("related_concepts").alias("concept"))
+    return each.select(F.concat(F.lit("s:"), "source_id").alias("u"), F.concat(F.lit("c:"), "concept", F.lit("/"), "license_id").alias("v"))
+
+
 @query
 def d6_components(spark, sf):
-    links = _docs(spark, sf).select(F.concat(F.lit("s:"), "source_id").alias("u"), F.concat(F.lit("c:"), F.get("related_concepts", 0), F.lit("/"), "license_id").alias("v"))
-    return merge_components(None, links.filter("v is not null"))
+    return merge_components(None, _concept_links(_docs(spark, sf)).filter("v is not null"))
 
 
 @query

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from millrace.operators import analytics, balance, dedup, evaluation, sections, sequence, split
 from millrace.operators.components import merge_components
 from millrace.operators.neardup import NearDuplicates
-from millrace.plans import pipelines
+from millrace.plans import pipelines, queries
 from millrace.runtime import running_totals
 
 
@@ -83,6 +83,12 @@ def test_texts_and_clusters_of_two_sources(spark):
     assert dedup.shared_clusters(d, near.withColumn("cluster", F.lit("a")), sources).count() == 0
 
 
+def test_links_of_all_concepts(spark):
+    d = spark.createDataFrame([("s1", "MIT", ["a", "b"]), ("s2", "MIT", ["c", "b"]), ("s3", None, ["a"]), ("s4", "MIT", None)], "source_id string, license_id string, related_concepts array<string>")
+    got = {r.node: r.component for r in merge_components(None, queries._concept_links(d).filter("v is not null")).collect()}
+    assert set(got) == {"s:s1", "s:s2", "c:a/MIT", "c:b/MIT", "c:c/MIT"} and len(set(got.values())) == 1
+
+
 def test_readiness_finds_parts_of_samples(spark):
     samples = [("One team runs a shop on two servers. Which store fits the orders?", ["One team runs a shop on two servers.", "Which store fits the orders?"]), ("Quite another item. Why so?", ["Quite another item.", "Why so?"]), (" ", None)]
     texts = ["runs a shop\non TWO servers", "Which store fits the orders?", "servers. Which", "a page about boats", "He asked: (Which store fits the orders?) and left", "hm, why so?", None, " "]
