@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -60,8 +60,9 @@ def coefficients(permutations: int = 128, seed: int = 42) -> tuple[list[int], li
     return [draw.randint(1, PRIME - 1) for _ in range(permutations)], [draw.randint(0, PRIME - 1) for _ in range(permutations)]
 
 
-def minhash(rows: DataFrame, permutations: int = 128, seed: int = 42) -> DataFrame:
-    """(id, signature) of rows(id, hashes): the least permuted hash for every permutation; zeros for no hash."""
+def minhash(rows: DataFrame, permutations: int = 128, seed: int = 42, keep: Sequence[str] = ()) -> DataFrame:
+    """(id, signature) of rows(id, hashes): the least permuted hash for every permutation; zeros for no hash. `keep` names
+    string columns that are passed on."""
     a, b = (np.array(x, dtype=np.int64)[:, None] for x in coefficients(permutations, seed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,6 +74,6 @@ def minhash(rows: DataFrame, permutations: int = 128, seed: int = 42) -> DataFra
                 if hi > lo:
                     out[i] = ((a * flat[None, lo:hi] + b) % PRIME).min(axis=1)
             signature = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, permutations), pa.int32()), pa.array(out.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), signature], ["id", "signature"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("id", *keep)), signature], ["id", *keep, "signature"])
 
-    return rows.select("id", "hashes").mapInArrow(run, "id string, signature array<int>")
+    return rows.select("id", *keep, "hashes").mapInArrow(run, ", ".join(f"{c} string" for c in ("id", *keep)) + ", signature array<int>")

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.hashing import base_hashes, minhash, shingles
+from millrace.functions.hashing import PRIME, base_hashes, minhash, shingles
+from millrace.functions.text import let
 from millrace.operators.components import merge_components
-from millrace.runtime import materialize
+from millrace.runtime import materialize, release
 
 
 @dataclass(frozen=True)
@@ -34,15 +35,25 @@ class NearDuplicates:
         words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
         return shingles(words, self.shingle, self.most_shingles)
 
+    def hashed(self) -> Column:
+        """64-bit hashes of the shingles of `text`."""
+        return F.transform(self.shingles(), lambda s: F.xxhash64(s))
+
     def signatures(self, docs: DataFrame) -> DataFrame:
-        """(id, signature) of docs(id, text); texts without words have a signature of zeros."""
-        return minhash(docs.select("id", base_hashes(self.shingles()).alias("hashes")), self.permutations, self.seed)
+        """(id, signature) of docs(id, text), with `class_key`, which texts of equal shingles share, if `exact`; texts
+        without words have a signature of zeros. Only without `exact` are the hashes those of the reference."""
+        if not self.exact:
+            return minhash(docs.select("id", base_hashes(self.shingles()).alias("hashes")), self.permutations, self.seed)
+        low = lambda h: F.transform(h, lambda x: x.bitwiseAND(F.lit(PRIME))).alias("hashes")
+        key = lambda h: F.sha2(F.array_join(F.array_sort(h).cast("array<string>"), ","), 256).alias("class_key")
+        both = let(self.hashed(), lambda h: F.struct(low(h), key(h)))
+        return minhash(docs.select("id", both.alias("both")).select("id", "both.hashes", "both.class_key"), self.permutations, self.seed, ["class_key"])
 
     def buckets(self, signatures: DataFrame) -> DataFrame:
         """(id, band, key) of every signature's bands."""
         rows = self.permutations // self.bands
         keys = F.transform(F.sequence(F.lit(0), F.lit(self.bands - 1)), lambda b: F.array_join(F.slice("signature", b * rows + 1, rows), ","))
-        return signatures.select("id", F.posexplode(keys).alias("band", "key")).withColumn("key", F.sha2("key", 256))
+        return signatures.select("id", F.posexplode(keys).alias("band", "key")).withColumn("key", F.xxhash64("key"))
 
     def candidates(self, buckets: DataFrame) -> DataFrame:
         """Distinct pairs (id1 < id2) that share a bucket.
@@ -50,7 +61,7 @@ class NearDuplicates:
         A bucket of more than `block` members is cut into blocks by a hash of the id, and pairs of blocks are joined
         instead of the bucket with itself. No pair is lost, and no task holds a whole hot bucket.
         """
-        sizes = buckets.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
+        sizes = materialize(buckets.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1"), "bucket_sizes")
         blocks = F.ceil(F.col("n") / self.block).cast("int")
         member = buckets.join(sizes, ["band", "key"]).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         spread = member.select("id", "band", "key", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -73,7 +84,7 @@ class NearDuplicates:
         Pairs whose sizes alone rule that out are dropped before the sets are joined.
         """
         used = candidates.select(F.explode(F.array("id1", "id2")).alias("id")).distinct()
-        sets = docs.join(used, "id", "left_semi").select("id", F.transform(self.shingles(), lambda s: F.xxhash64(s)).alias("items"))
+        sets = docs.join(used, "id", "left_semi").select("id", self.hashed().alias("items"))
         sets = materialize(sets.withColumn("n", F.size("items")), "shingle_sets")
         for i in ("1", "2"):
             candidates = candidates.join(sets.select(F.col("id").alias(f"id{i}"), F.col("n").alias(f"n{i}")), f"id{i}")
@@ -93,21 +104,18 @@ class NearDuplicates:
         removed documents to the kept one, where those not linked to it directly count with the threshold. A document
         without near duplicates is its own cluster with a null similarity.
         """
-        if self.exact:
-            key = docs.select("id", F.sha2(F.array_join(F.array_sort(self.shingles()), "|"), 256).alias("class_key"))
-            key = materialize(key, "class_keys")
-        else:
-            signed = materialize(self.signatures(docs), "signatures")
-            key = signed.select("id", F.sha2(F.array_join("signature", ","), 256).alias("class_key"))
+        signed = materialize(self.signatures(docs), "signatures")
+        key = signed.select("id", F.col("class_key") if self.exact else F.sha2(F.array_join("signature", ","), 256).alias("class_key"))
         heads = key.groupBy("class_key").agg(F.min("id").alias("head"))
         classes = materialize(key.join(heads, "class_key").select("id", "head"), "classes")
-        head = heads.select(F.col("head").alias("id"))
+        distinct = signed.select("id", "signature").join(classes.filter("id = head").select("id"), "id", "left_semi")
         if self.exact:
-            distinct = docs.join(head, "id", "left_semi")
-            found = materialize(self.candidates(self.buckets(self.signatures(distinct))), "candidates")
-            edges = materialize(self.verified(found, distinct), "edges")
+            distinct = materialize(distinct, "heads")
+            release(signed)
+            found = materialize(self.candidates(self.buckets(distinct)), "candidates")
+            release(distinct)
+            edges = materialize(self.verified(found, docs), "edges")
         else:
-            distinct = signed.join(head, "id", "left_semi")
             edges = materialize(self.edges(self.candidates(self.buckets(distinct)), distinct), "edges")
         parts = merge_components(None, edges.select(F.col("id1").alias("u"), F.col("id2").alias("v")))
         member = classes.join(parts.withColumnsRenamed({"node": "head"}), "head", "left").select("id", "head", F.coalesce("component", "head").alias("cluster"))

@@ -356,7 +356,7 @@ def d4_near_pairs(spark, sf):
 
 @query
 def d8_near_duplicates(spark, sf):
-    return NearDuplicates().run(_docs(spark, sf).select("id", "text", F.col("quality_score").alias("score")))
+    return NearDuplicates().run(materialize(_docs(spark, sf).select("id", "text", F.col("quality_score").alias("score")), "documents"))
 
 
 def _concept_links(docs) -> DataFrame:
@@ -616,7 +616,7 @@ def split_three_way(spark, sf):
 
 @query
 def split_clusters(spark, sf):
-    near = NearDuplicates().run(_docs(spark, sf).select("id", "text", F.lit(0.0).alias("score")))
+    near = NearDuplicates().run(materialize(_docs(spark, sf).select("id", "text", F.lit(0.0).alias("score")), "documents"))
     return near.select("id", "cluster", F.when(hashing.score64(F.col("cluster")) < 0.95, "train").otherwise("validation").alias("split"))
 
 
