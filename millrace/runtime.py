@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 
 _scratch_root: str | None = None
 
+#: Sides of joins up to this number of rows (some tens of MB of narrow rows) are broadcast.
+BROADCAST_ROWS = 200_000
+#: Copies of a larger side, over which the rows of a hot key are dealt.
+SALTS = 32
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of a data directory."""
@@ -103,7 +108,33 @@ def running_totals(
     for n in totals:
         out = out.withColumn(n, F.col(f"_o_{n}") + F.sum(f"_v_{n}").over(inside))
     drop = ["_part", *[f"_{p}_{n}" for n in totals for p in "vo"]]
-    return out.drop(*drop)
+    out = out.drop(*drop)
+    out._millrace_path = stored._millrace_path  # so that the caller can release the ordered rows
+    return out
+
+
+def lookup(rows: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
+    """`rows` joined with `side`, whose keys are unique or nearly so, although one key may hold a third of `rows`.
+
+    A side of at most `most` rows is broadcast; it is counted first. A larger one is repeated `SALTS` times and the rows
+    of a key are dealt over the copies by a hash of the row, so a hot key is joined by as many tasks and a lost task
+    deals them alike. `how` is inner, left, left_semi or left_anti; `side` should be a stored table or cheap to compute,
+    since it is read twice.
+    """
+    if side.limit(most + 1).count() <= most:
+        return rows.join(F.broadcast(side), list(on), how)
+    salt = F.array(*[F.lit(i) for i in range(SALTS)])
+    copies = side.withColumn("_salt", F.explode(salt))
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c, t in rows.dtypes if "map<" not in t and "variant" not in t]), F.lit(SALTS)).cast("int"))
+    return dealt.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def numbered(df: DataFrame, count: Column, out: str, block: int = 1 << 15) -> DataFrame:
+    """Every row repeated `count` times with `out` = 1, 2, ..., in two steps, so that no array grows with the count."""
+    n = count.cast("long")
+    blocks = df.withColumn("_n", n).filter("_n > 0").withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / block))))
+    first = F.col("_block") * block + 1
+    return blocks.withColumn(out, F.explode(F.sequence(first, F.least(F.col("_n"), first + block - 1)))).drop("_n", "_block")
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "rank") -> DataFrame:
