@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 _scratch_root: str | None = None
 
-#: Sides of joins up to this number of rows (some tens of MB of narrow rows) are broadcast.
-BROADCAST_ROWS = 200_000
+#: Sides of joins up to this number of rows (some 10 MB of narrow rows) are broadcast.
+BROADCAST_ROWS = 100_000
 #: Copies of a larger side, over which the rows of a hot key are dealt.
 SALTS = 32
 
