@@ -7,12 +7,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.keys import clean_key
 from millrace.functions.tokens import tokens_of_words, word_count
+from millrace.runtime import materialize
 
-#: Texts above this many characters are cut into chunks of about this size.
-CHUNK_CHARS = 262_144
+#: Texts above this many characters are cut into chunks of about this size. Half a dozen of usual documents, so that the
+#: work of a chunk is like that of a document, and one text, however long, is counted by many workers.
+CHUNK_CHARS = 8_192
 
 #: Where a text may be cut so that the parts' counts add up to the whole's, as a pattern for one chunk: after the
 #: given number of characters the white space and then the word are finished, so every cut lies between the last
@@ -27,10 +30,14 @@ def chunks(text: Column, tokenizer: str, size: int) -> Column:
     return F.regexp_extract_all(text, F.lit(CUTS[tokenizer] % size), F.lit(0))
 
 
-def _with_units(rows: DataFrame, tokenizer: str, vocabulary_dir: str) -> DataFrame:
-    """The rows with `units`, the counted pieces of `text`, in place of it."""
+def _counted(rows: DataFrame, tokenizer: str, vocabulary_dir: str, most: int | None = None) -> DataFrame:
+    """The rows with `units`, the counted pieces of `text`, in place of it. With `most`, a text of more characters is not
+    counted but passed on as `rest`, with null `units`."""
+    long = F.lit(False) if most is None else F.length("text") > most
+    rest = [] if most is None else [F.when(long, F.col("text")).alias("rest")]
+    other = [c for c in rows.columns if c != "text"]
     if tokenizer == "words":
-        return rows.withColumn("units", word_count(F.col("text"))).drop("text")
+        return rows.select(*other, *rest, F.when(~long, word_count(F.col("text"))).alias("units"))
     vocabulary = f"{vocabulary_dir}/{tokenizer}.tiktoken"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,12 +50,12 @@ def _with_units(rows: DataFrame, tokenizer: str, vocabulary_dir: str) -> DataFra
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         for batch in batches:
-            units = pa.array([len(encode(t)) for t in batch.column("text").to_pylist()], pa.int64())
-            rest = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), units], [*rest, "units"])
+            units = pa.array([None if t is None else len(encode(t)) for t in batch.column("text").to_pylist()], pa.int64())
+            names = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), units], [*names, "units"])
 
-    rest = rows.drop("text")
-    return rows.mapInArrow(run, rest.withColumn("units", F.lit(0).cast("long")).schema)
+    ready = rows.select(*other, *rest, F.when(~long, F.col("text")).alias("text"))
+    return ready.mapInArrow(run, T.StructType([*ready.drop("text").schema.fields, T.StructField("units", T.LongType())]))
 
 
 def document_tokens(
@@ -56,21 +63,21 @@ def document_tokens(
 ) -> DataFrame:
     """`ord`, the columns `keep` and `tokens` of every row, repeated deliveries included.
 
-    Ordinary texts are counted where they are read, without a shuffle. Longer ones than `chunk_chars` are cut at
-    boundaries that the tokenizer provably never crosses, and the chunks are salted over the workers by row and chunk
-    number, so one huge text never holds up a task; the exact chunk counts are summed per row. A null or blank text
-    has 0 tokens; repeated and null `ord` values are allowed.
+    One scan counts the texts of at most `chunk_chars` characters where they are read and stores the counts, together
+    with the text of the longer ones. Those are cut at boundaries that the tokenizer provably never crosses, and the
+    chunks are salted over the workers by row and chunk number, so one huge text never holds up a task; the exact chunk
+    counts are summed per row. A null or blank text has 0 tokens; repeated and null `ord` values are allowed, since a row
+    is known by the number it gets when stored. `vocabulary_dir` must be a folder that every worker has.
     """
-    slim = rows.select("ord", *keep, F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    long = F.length("text") > chunk_chars
-    tokens = (lambda c: tokens_of_words(c)) if tokenizer == "words" else (lambda c: c)
-    short = _with_units(slim.filter(~long), tokenizer, vocabulary_dir)
-    huge = slim.filter(long).withColumn("_text_key", F.md5("text"))
-    pieces = huge.select("_text_key", F.posexplode(chunks(F.col("text"), tokenizer, chunk_chars)).alias("_chunk", "text"))
-    pieces = _with_units(pieces.repartition("_text_key", "_chunk"), tokenizer, vocabulary_dir).dropDuplicates(["_text_key", "_chunk"])
-    sums = pieces.groupBy("_text_key").agg(F.sum("units").alias("units"))
-    both = short.unionByName(huge.drop("text").join(sums, "_text_key").drop("_text_key"))
-    return both.withColumn("tokens", tokens(F.col("units"))).drop("units")
+    slim = rows.select("ord", *keep, F.coalesce(F.col("text"), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("_row"))
+    stored = materialize(_counted(slim, tokenizer, vocabulary_dir, chunk_chars), "counted")
+    short = stored.filter("rest is null").drop("rest", "_row")
+    pieces = stored.filter("rest is not null").select("_row", "ord", *keep, F.posexplode(chunks(F.col("rest"), tokenizer, chunk_chars)).alias("_chunk", "text"))
+    pieces = _counted(pieces.repartition("_row", "_chunk"), tokenizer, vocabulary_dir)
+    first = [F.first(c).alias(c) for c in ("ord", *keep)]
+    long = pieces.groupBy("_row").agg(*first, F.sum("units").alias("units")).drop("_row")
+    tokens = tokens_of_words(F.col("units")) if tokenizer == "words" else F.col("units")
+    return short.unionByName(long).withColumn("tokens", tokens).drop("units")
 
 
 #: Language codes by their first two or three letters (fixed values).

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.keys import squeezed
-from millrace.runtime import materialize, rank_within, release
+from millrace.functions.keys import linking_key, squeezed
+from millrace.runtime import lookup, materialize, rank_within, release
 
 
 def current_rows(rows: DataFrame, *cols: str | Column) -> DataFrame:
@@ -31,49 +31,51 @@ def suitor_caps(edges: DataFrame, capacities: DataFrame, order: Sequence[Column]
     The rounds end when all records are decided; the result equals visiting the records in `order` and keeping each
     one whose contributors all have room. With one contributor per record a single round decides everything.
 
+    The records decided in a round are stored; what else a round stored is deleted in the next. A contributor that a
+    third of all records name is ranked over many partitions and looked up by salted joins.
+
     Returns (record, kept) for every record in `edges`. An empty input gives an empty result; repeated edges count
     once; a null contributor or capacity imposes no limit; a capacity of 0 or less keeps nothing.
     """
     limits = capacities.filter(F.col("contributor").isNotNull() & F.col("capacity").isNotNull())
-    limits = limits.groupBy("contributor").agg(F.min("capacity").cast("long").alias("room"))
+    limits = materialize(limits.groupBy("contributor").agg(F.min("capacity").cast("long").alias("room")), "limits")
     everyone = materialize(edges.dropDuplicates([record, "contributor"]), "proposals")
-    undecided = everyone.join(limits.select("contributor"), "contributor", "left_semi")
-    decided, spent = [], []
-    room = limits
+    undecided = lookup(everyone, limits.select("contributor"), ["contributor"], "left_semi")
+    decided: list[DataFrame] = []
+    room, spent = limits, []
     while True:
         wanted = undecided.groupBy("contributor").agg(F.count("*").alias("wanted"))
         room = materialize(room.join(wanted, "contributor").select("contributor", "room", "wanted"), "room")
         spent.append(room)
-        tight = room.filter("wanted > room")
+        tight = room.filter("wanted > room").select("contributor", "room")
         if tight.isEmpty():
             decided.append(undecided.select(record, F.lit(True).alias("kept")).distinct())
             break
-        contested = rank_within(undecided.join(tight.select("contributor", "room"), "contributor"), ["contributor"], order, "_rank")
-        loose = undecided.join(room.filter("wanted <= room").select("contributor"), "contributor", "left_semi")
+        contested = rank_within(lookup(undecided, tight, ["contributor"]), ["contributor"], order, "_rank")
+        loose = lookup(undecided, room.filter("wanted <= room").select("contributor"), ["contributor"], "left_semi")
         held = contested.select(record, "contributor", (F.col("_rank") <= F.col("room")).alias("held")).unionByName(
             loose.select(record, "contributor", F.lit(True).alias("held"))
         )
         verdict = held.groupBy(record).agg(F.min("held").alias("held_by_all"), F.collect_set("contributor").alias("_at"))
         verdict = materialize(verdict, "verdicts")
-        spent.append(verdict)
+        release(contested)
         used = verdict.filter("held_by_all").select(F.explode("_at").alias("contributor")).groupBy("contributor").agg(F.count("*").alias("used"))
-        room = room.join(used, "contributor", "left").select("contributor", (F.col("room") - F.coalesce("used", F.lit(0))).alias("room"))
+        room = materialize(room.join(used, "contributor", "left").select("contributor", (F.col("room") - F.coalesce("used", F.lit(0))).alias("room")), "room")
         full = room.filter("room <= 0").select("contributor")
-        lost = (
-            verdict.filter(~F.col("held_by_all")).select(record, F.explode("_at").alias("contributor")).join(full, "contributor", "left_semi").select(record).distinct()
-        )
-        step = materialize(
-            verdict.filter("held_by_all").select(record, F.lit(True).alias("kept")).unionByName(lost.select(record, F.lit(False).alias("kept"))), "decided"
-        )
+        turned = lookup(verdict.filter(~F.col("held_by_all")).select(record, F.explode("_at").alias("contributor")), full, ["contributor"], "left_semi")
+        step = verdict.filter("held_by_all").select(record, F.lit(True).alias("kept")).unionByName(turned.select(record).distinct().select(record, F.lit(False).alias("kept")))
+        step = materialize(step, "decided")
         decided.append(step)
-        undecided = materialize(undecided.join(step, record, "left_anti"), "undecided")
+        left = materialize(undecided.join(step, record, "left_anti"), "undecided")
+        release(verdict, *spent, undecided)
+        undecided, spent = left, [room]
         if undecided.isEmpty():
             break
     out = decided[0]
     for more in decided[1:]:
         out = out.unionByName(more)
-    unlimited = everyone.select(record).distinct().join(everyone.join(limits.select("contributor"), "contributor", "left_semi").select(record).distinct(), record, "left_anti")
-    release(*spent)
+    limited = lookup(everyone, limits.select("contributor"), ["contributor"], "left_semi").select(record).distinct()
+    unlimited = everyone.select(record).distinct().join(limited, record, "left_anti")
     return out.unionByName(unlimited.select(record, F.lit(True).alias("kept")))
 
 
@@ -103,23 +105,19 @@ def cap_documents(rows: DataFrame, sources: DataFrame, author_permille: int | No
     """
     author = F.col("metadata")["author"]
     docs = materialize(
-        current_rows(rows, F.col("source_id"), F.col("quality_score"), author.alias("author")).select(
-            "id", squeezed(F.col("source_id")).alias("source"), F.lit("quality_score").alias("_"), "quality_score", "author"
-        ).drop("_"),
+        current_rows(rows, F.col("source_id"), F.col("quality_score"), author.alias("author")).select("id", squeezed(F.col("source_id")).alias("source"), "quality_score", "author"),
         "documents",
     )
     n = docs.count()
     caps = source_capacities(sources, n)
     edges = docs.select("id", F.col("source").alias("contributor"), "quality_score").filter("contributor is not null")
     if author_permille is not None:
-        from millrace.functions.keys import linking_key
-
         who = linking_key(F.col("author"))
         by_author = docs.select("id", F.concat(F.lit("author:"), who).alias("contributor"), "quality_score").filter("contributor is not null")
         caps = caps.unionByName(by_author.select("contributor").distinct().withColumn("capacity", F.lit(author_permille * n // 1000)))
         edges = edges.unionByName(by_author)
     else:
-        edges = edges.join(caps.select("contributor"), "contributor", "left_semi")
+        edges = lookup(edges, caps.select("contributor"), ["contributor"], "left_semi")
     worst, tie = quality_order()
     verdicts = suitor_caps(edges.withColumn("_worst", worst).drop("quality_score"), caps, [F.col("_worst"), tie], record="id")
     return docs.join(verdicts, "id", "left").withColumn("kept", F.coalesce("kept", F.lit(True)))

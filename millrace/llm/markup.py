@@ -103,24 +103,26 @@ SMOOTHING = 0.2
 
 
 class Piece(NamedTuple):
-    """A stretch of the page: what it becomes, how many words that has, and the class of its tag if it is one."""
+    """A stretch of the page: what it becomes, how many words that has, the class of its tag if it is one, and the kind of
+    markup it was."""
 
     text: str
     words: int
     tag: str
+    kind: str = ""
 
 
-def pieces(page: str) -> tuple[list[Piece], set[str]]:
-    """The page as words and tags in order, and the kinds of markup found.
+def pieces(page: str) -> list[Piece]:
+    """The page as words and tags in order.
 
     The scan visits every character once. Protected blocks (code, inline code, verbatim, scripts, comments) are single
     constructs, so their content is neither counted nor converted.
     """
-    found: set[str] = set()
     out: list[Piece] = []
     inside = 0  # depth of boilerplate elements
     linked = 0
     at = 0
+    closings: dict[str, int] = {}  # where an element is closed for the last time
     lower = None
 
     def words(s: str, tag: str = "") -> None:
@@ -148,8 +150,10 @@ def pieces(page: str) -> tuple[list[Piece], set[str]]:
             cls = TAGS.get(t)
             glued = start and (page[start - 1].isalnum() or page[start - 1] == "_")
             if cls is not None and glued and not g("close") and (t in SHORT_TAGS or g("tname")[0].isupper() and not g("tname").isupper()):
-                lower = lower or page.lower()
-                if f"</{t}>" not in lower[end:]:
+                if t not in closings:
+                    lower = page.lower() if lower is None else lower
+                    closings[t] = lower.rfind(f"</{t}>")
+                if closings[t] < end:
                     cls = None
             if cls is None or ("," in g("attrs") and "=" not in g("attrs")):
                 words(page[at : start + 1])
@@ -158,18 +162,17 @@ def pieces(page: str) -> tuple[list[Piece], set[str]]:
             words(page[at:start])
             if cls == "boiler":
                 inside = max(0, inside + (-1 if g("close") else 1))
-                out.append(Piece("\n\n", 0, "boiler"))
+                out.append(Piece("\n\n", 0, "boiler", HTML))
             elif cls == "heading":
-                out.append(Piece("\n\n" if g("close") else "\n\n" + "#" * int(t[1]) + " ", 0, "heading"))
+                out.append(Piece("\n\n" if g("close") else "\n\n" + "#" * int(t[1]) + " ", 0, "heading", HTML))
             elif t == "a":
                 linked = max(0, linked + (-1 if g("close") else 1))
-                out.append(Piece("", 0, "a"))
+                out.append(Piece("", 0, "a", HTML))
             else:
                 opens = {"li": "\n- ", "td": " | ", "th": " | ", "tr": "\n", "br": "\n", "summary": "\n\n", "dd": "\n", "dt": "\n"}
                 closes = {"tr": " |", "li": "", "td": "", "th": "", "dd": "", "dt": ""}
                 rest = "\n\n" if cls == "block" else ""
-                out.append(Piece((closes if g("close") else opens).get(t, rest), 0, t if t in ("li", "p", "ul", "ol", "table", "td", "th", "tr", "div", "span") else cls))
-            found.add(HTML)
+                out.append(Piece((closes if g("close") else opens).get(t, rest), 0, t if t in ("li", "p", "ul", "ol", "table", "td", "th", "tr", "div", "span") else cls, HTML))
             at = look = end
             continue
         elif name == "entity":
@@ -184,8 +187,7 @@ def pieces(page: str) -> tuple[list[Piece], set[str]]:
             if name == "pre":
                 body = html.unescape(re.sub(r"</?(?i:code|span|b|i|em|strong)\b[^<>]*>", "", body))
             words(page[at:start])
-            out.append(Piece("\n\n```\n" + body.strip("\n") + "\n```\n\n", len(body.split()), "block_code"))
-            found.add(kind)
+            out.append(Piece("\n\n```\n" + body.strip("\n") + "\n```\n\n", len(body.split()), "block_code", kind))
             at = look = end
             continue
         elif name in ("code", "span", "raw"):
@@ -261,7 +263,7 @@ def pieces(page: str) -> tuple[list[Piece], set[str]]:
                 head, _, title = last.text.rstrip("\n").rpartition("\n")
                 level = "# " if g("um")[0] == "=" else "## "
                 out.append(last._replace(text=(head + "\n" if head or "\n" in last.text[: len(last.text) - len(title) - 1] else "") + level + title + "\n"))
-            found.add(MARKDOWN)
+            out.append(Piece("", 0, "underline", MARKDOWN))
             at = look = end
             continue
         elif name == "quote":
@@ -279,17 +281,16 @@ def pieces(page: str) -> tuple[list[Piece], set[str]]:
         if kind is None:
             words(keep)
         else:
-            found.add(kind)
             body = keep or ""
+            out.append(Piece("", 0, name, kind))
             if name in ("strong", "under", "strike", "quotes") and re.search(r"[`\[<$\\*_~'&{]", body):
-                inner, more = pieces(body)
-                found |= more
+                inner = pieces(body)
+                out.extend(Piece("", 0, name, k) for k in sorted({p.kind for p in inner} - {""}))
                 body = "".join(p.text for p in inner)
-            out.append(Piece("", 0, name))
             words(body, {"link": "link_word", "reflink": "link_word", "extlink": "link_word", "image": "link_word"}.get(name, ""))
         at = look = end
     words(page[at:])
-    return out, found
+    return out
 
 
 def _plain_tex(s: str) -> str:
@@ -326,7 +327,7 @@ def fit_weights(labelled: Iterable[tuple[str, str]]) -> Weights:
     """
     n = {"content": Counter(), "boilerplate": Counter()}
     for label, markup in labelled:
-        for p in pieces(markup)[0]:
+        for p in pieces(markup):
             if p.words:
                 n[label][p.tag] += p.words
             elif p.tag:
@@ -338,11 +339,14 @@ def fit_weights(labelled: Iterable[tuple[str, str]]) -> Weights:
     return Weights(1.0, {t: min(-0.02, max(-6.0, odds(t) / scale)) for t in classes}, -0.1)
 
 
-def content_region(parts: list[Piece], weights: Weights) -> tuple[int, int]:
+def content_region(parts: list[Piece], weights: Weights, kinds: set[str] | None = None) -> tuple[int, int]:
     """Half-open range of the pieces of maximum total score, found in one linear scan; the longest if several are
-    equal. A page without a positive piece is kept whole."""
+    equal. A page without a positive piece is kept whole. The scan adds the kinds of markup of all pieces that it scores
+    to `kinds`."""
     best, best_range, score, begin = 0.0, (0, len(parts)), 0.0, 0
     for i, p in enumerate(parts):
+        if p.kind and kinds is not None:
+            kinds.add(p.kind)
         if p.tag in NEGATIVE_WORDS:
             score += p.words * max(-1.0, weights.tags.get(p.tag, weights.other))
         elif p.words:
@@ -367,17 +371,39 @@ def default_weights() -> Weights:
     return fit_weights(MARKUP_PAGES)
 
 
+def region_text(parts: list[Piece], a: int, b: int) -> str:
+    """Text of the range, grown to whole lines, so that a sentence which ends in a link keeps its end, and with the mark in
+    front of its first words. Boilerplate elements and their words stay outside."""
+    while a and not parts[a - 1].words and parts[a - 1].tag in OPENING:
+        a -= 1
+    head, tail = [], []
+    if a < len(parts) and not parts[a].text.startswith("\n"):
+        for p in reversed(parts[:a]):
+            if p.tag in ("boiler", "boiler_word"):
+                break
+            head.append(p.text.rpartition("\n")[2])
+            if "\n" in p.text:
+                break
+    if b and not parts[b - 1].text.endswith("\n"):
+        for p in parts[b:]:
+            if p.tag in ("boiler", "boiler_word"):
+                break
+            tail.append(p.text.partition("\n")[0])
+            if "\n" in p.text:
+                break
+    return "".join([*reversed(head), *(p.text for p in parts[a:b]), *tail])
+
+
 def clean_page(page: str | None, weights: Weights | None = None) -> tuple[str | None, list[str]]:
     """Clean text and sorted kinds of markup of one page. Null stays null; a text without markup stays as it is."""
     if page is None:
         return None, []
-    parts, found = pieces(page)
+    parts = pieces(page)
+    found: set[str] = set()
+    a, b = content_region(parts, weights or default_weights(), found)
     if not found:
         return page, []
-    a, b = content_region(parts, weights or default_weights())
-    while a and not parts[a - 1].words and parts[a - 1].tag in OPENING:
-        a -= 1  # the mark in front of the region's first words belongs to them
-    text = "".join(p.text for p in parts[a:b])
+    text = region_text(parts, a, b)
     return BREAKS.sub("\n\n", TRAILING.sub("", text)).strip(), sorted(found)
 
 

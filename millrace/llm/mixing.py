@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.hashing import hex_number
 from millrace.functions.keys import squeezed
 from millrace.functions.tokens import token_count
-from millrace.runtime import materialize, rank_within
+from millrace.runtime import lookup, materialize, rank_within
 
 
 def sized_pages(documents: DataFrame) -> DataFrame:
@@ -16,21 +17,26 @@ def sized_pages(documents: DataFrame) -> DataFrame:
 
 
 def mixture_plan(pages: DataFrame, weights: DataFrame) -> DataFrame:
-    """Every row of `weights` with the tokens its source should give, can give, and the expected copies of a page.
+    """Every row of `weights` with the tokens its source should give, its supply, and the expected copies of a page.
 
-    The copies are `wanted / supply`, at most `max_repeats`; `short` marks rows whose source cannot give enough even
-    if every page is repeated that often. Null weights, fractions and repeats count as 0. A source without pages has
-    a supply of 0.
+    The copies are `wanted / supply`, at most `max_repeats`. `most_copies` is what the source can give at all: each of
+    its pages that has tokens, `max_repeats` times. Null weights, fractions and repeats count as 0. A source without
+    pages has a supply of 0.
     """
-    supply = pages.groupBy("source").agg(F.sum("tokens").alias("supply"))
+    supply = pages.groupBy("source").agg(F.sum("tokens").alias("supply"), F.count_if(F.col("tokens") > 0).alias("filled"))
     total = supply.agg(F.coalesce(F.sum("supply"), F.lit(0)).alias("total"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     rows = weights.withColumn("source", squeezed(F.col("source_key"))).crossJoin(F.broadcast(total))  # total is one row
     rows = rows.join(supply.filter("source is not null"), "source", "left").withColumn("supply", zero("supply"))
     wanted = zero("target_weight") * zero("budget_fraction") * F.col("total")
     copies = F.when(F.col("supply") > 0, F.least(F.col("wanted") / F.col("supply"), zero("max_repeats").cast("double"))).otherwise(0.0)
-    out = rows.withColumn("wanted", wanted).withColumn("copies_each", copies).withColumn("short", F.col("supply") * zero("max_repeats") < F.col("wanted"))
-    return out.select("mixture_id", "source_key", "source", "target_weight", "wanted", "supply", "copies_each", "short")
+    out = rows.withColumn("wanted", wanted).withColumn("copies_each", copies).withColumn("most_copies", zero("filled") * zero("max_repeats"))
+    return out.select("mixture_id", "source_key", "source", "target_weight", "wanted", "supply", "copies_each", "most_copies")
+
+
+def _uniform(*parts, digits: int = 15):
+    """A number from the hash of the parts, the same wherever it is computed."""
+    return hex_number(F.concat_ws(":", *[p.cast("string") for p in parts]), 1, digits).cast("long")
 
 
 def mix(pages: DataFrame, plan: DataFrame, seed: int = 42) -> DataFrame:
@@ -42,19 +48,26 @@ def mix(pages: DataFrame, plan: DataFrame, seed: int = 42) -> DataFrame:
     total comes close to the wanted tokens. The order of a source is shared by all mixtures, so one distributed
     running sum serves them all; a source with a third of all pages is spread over many partitions.
     """
-    used = pages.join(plan.filter("copies_each > 0").select("source").distinct(), "source", "left_semi")
-    ranked = rank_within(used, ["source"], [F.col("tokens"), F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id")], "place")
-    offset = F.pmod(F.xxhash64("mixture_id", "source", F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
+    used = lookup(pages, plan.filter("copies_each > 0").select("source").distinct(), ["source"], "left_semi")
+    ranked = rank_within(used, ["source"], [F.col("tokens"), _uniform(F.lit(seed), F.col("doc_id")), F.col("doc_id")], "place")
+    offset = _uniform(F.lit(seed), F.col("mixture_id"), F.col("source"), digits=5) / float(1 << 20)
     goals = plan.filter("copies_each > 0").select("mixture_id", "source_key", "source", "copies_each", offset.alias("offset"))
-    drawn = ranked.join(goals, "source")
+    drawn = lookup(ranked, goals, ["source"])
     at = lambda place: F.floor(F.col("copies_each") * place + F.col("offset"))
     drawn = drawn.withColumn("copies", at(F.col("place")) - at(F.col("place") - 1)).filter("copies > 0")
     return drawn.select("mixture_id", "source_key", "doc_id", "tokens", "copies")
 
 
 def mixture_report(drawn: DataFrame, plan: DataFrame) -> DataFrame:
-    """Per mixture and source: pages, tokens and share reached beside the target, and whether the source fell short."""
-    got = drawn.groupBy("mixture_id", "source_key").agg(F.count("*").alias("pages"), F.sum(F.col("tokens") * F.col("copies")).alias("tokens"))
-    out = plan.join(got, ["mixture_id", "source_key"], "left").fillna(0, ["pages", "tokens"])
+    """Per mixture and source: pages, tokens and share reached beside the target, and whether the source fell short.
+
+    `short` is judged by what was drawn: every page with tokens as often as it may be, and still fewer tokens than
+    wanted.
+    """
+    got = drawn.groupBy("mixture_id", "source_key").agg(
+        F.count("*").alias("pages"), F.sum(F.col("tokens") * F.col("copies")).alias("tokens"), F.sum(F.when(F.col("tokens") > 0, F.col("copies"))).alias("copies")
+    )
+    out = plan.join(got, ["mixture_id", "source_key"], "left").fillna(0, ["pages", "tokens", "copies"])
     share = F.coalesce(F.try_divide("tokens", F.sum("tokens").over(Window.partitionBy("mixture_id"))), F.lit(0.0))
-    return out.select("mixture_id", "source_key", "target_weight", F.round(share, 6).alias("actual_share"), "pages", "tokens", "wanted", "short")
+    short = (F.col("copies") >= F.col("most_copies")) & (F.col("tokens") < F.col("wanted"))
+    return out.select("mixture_id", "source_key", "target_weight", F.round(share, 6).alias("actual_share"), "pages", "tokens", "wanted", short.alias("short"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.tokens import token_count
 from millrace.llm import budget, capping, grouped_split, leaks, markup, mixing, packing, sampling, stuffing
-from millrace.runtime import materialize, table
+from millrace.runtime import lookup, materialize, scratch_dir, table
 
 #: Share of all documents, in thousandths, that one author may keep in p2_source_author_caps.
 AUTHOR_PERMILLE = 2
@@ -52,17 +53,23 @@ def _packed(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "corpus_document").filter("id is not null and run_id is not null")
     sizes = rows.select("run_id", "id", token_count(F.col("text")).alias("tokens")).groupBy("run_id", "id").agg(F.max("tokens").alias("tokens"))
     runs = table(spark, sf, "packing_statistics").select("run_id", F.col("sequence_length").cast("long").alias("capacity"))
-    return packing.pack(materialize(sizes.join(runs, "run_id"), "lengths"))
+    return packing.pack(lookup(sizes, runs, ["run_id"]))
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    return _packed(spark, sf).filter("pieces > 1").select("run_id", "id").distinct()
+    """Documents that the packing has laid into more than one sequence."""
+    spread = _packed(spark, sf).groupBy("run_id", "id").agg((F.min("bin") < F.max("bin")).alias("divided"))
+    return spread.filter("divided").select("run_id", "id")
 
 
 def p4_packing_report(spark: SparkSession, sf: str) -> DataFrame:
     return packing.packing_report(_packed(spark, sf))
 
 
+def p4_packing_checks(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.packing_checks(_packed(spark, sf))
+
+
 def _nodes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     sources = table(spark, sf, "source_config")
     return materialize(grouped_split.document_nodes(table(spark, sf, "corpus_document"), sources), "nodes"), sources
@@ -75,18 +82,21 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_splits(spark: SparkSession, sf: str) -> DataFrame:
-    """Two deliveries: first the documents ingested without delay, then all; the table persists in between."""
+    """Two deliveries: first the documents ingested without delay, then all; in between the table is saved and loaded."""
     rows, sources = table(spark, sf, "corpus_document"), table(spark, sf, "source_config")
     prompt = rows.filter("ingested_at <= fetched_at + interval 1 day")
-    components = grouped_split.ComponentTable()
+    where = f"{scratch_dir(spark)}/component-table-{uuid.uuid4().hex}"
+    components = grouped_split.ComponentTable.load(spark, where)
     components.update(materialize(grouped_split.document_nodes(prompt, sources), "nodes"), sources)
+    components.save(where)
+    components = grouped_split.ComponentTable.load(spark, where)
     nodes = materialize(grouped_split.document_nodes(rows, sources), "nodes")
     return components.update(nodes, sources).select("id", "component", "split")
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    _, _, plan = sampling.sample_plan(table(spark, sf, "corpus_document"), table(spark, sf, "category_target"))
-    return plan.filter(~F.col("met")).select("target_set", "category")
+    """Targets that their category, drawn out completely, does not meet."""
+    return p6_report(spark, sf).filter(~F.col("met")).select("target_set", "category")
 
 
 def p6_sample(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,8 +104,8 @@ def p6_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_report(spark: SparkSession, sf: str) -> DataFrame:
-    docs, summary, plan = sampling.sample_plan(table(spark, sf, "corpus_document"), table(spark, sf, "category_target"))
-    return sampling.sample_report(sampling.draw(docs, summary, plan), plan)
+    docs, stored, plan = sampling.sample_plan(table(spark, sf, "corpus_document"), table(spark, sf, "category_target"))
+    return sampling.sample_report(sampling.draw(docs, stored, plan), plan)
 
 
 def _index(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -111,6 +121,15 @@ def p7_proximity(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.proximity(*_index(spark, sf))
 
 
+def p7_full_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Phrases and passages in other order, both searched in one index of all words of all pages."""
+    passages = materialize(leaks.test_terms(table(spark, sf, "benchmark_sample"), ["scenario", "question"]), "passages")
+    index = leaks.build_index(table(spark, sf, "documents"))
+    phrases = leaks.leaks(index, passages).groupBy("doc_id", "item_id", "field").agg(F.max("words").alias("words"))
+    near = leaks.proximity(index, passages)
+    return phrases.select(F.lit("phrase").alias("kind"), "*").unionByName(near.select(F.lit("proximity").alias("kind"), "*"))
+
+
 def _mixture(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     pages = mixing.sized_pages(table(spark, sf, "documents"))
     plan = materialize(mixing.mixture_plan(pages, table(spark, sf, "mixture_weight")), "mixtures")
@@ -134,6 +153,10 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p9_line_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return stuffing.label_lines(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+def p9_page_shares(spark: SparkSession, sf: str) -> DataFrame:
     return stuffing.label_pages(table(spark, sf, "documents").select("doc_id", "text"))
 
 
@@ -156,6 +179,36 @@ def _runs(column: str) -> str:
     return rf"list_filter(string_split_regex({plain}, '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
 
 
+def _hash(digits: int, *parts: str) -> str:
+    return f"('0x' || substr(sha256({' || chr(58) || '.join(parts)}), 1, {digits}))::BIGINT"
+
+
+_DRAWN = f"""{_CURRENT}, names AS (SELECT DISTINCT {_SQUEEZE.format('category')} AS k, category FROM category_target),
+        d AS (SELECT id, category, {_TOKENS} AS t, {_hash(15, "'42'", 'id')} AS h FROM (SELECT {_SQUEEZE.format('primary_category')} AS k, id, text FROM current_row) JOIN names USING (k)),
+        supply AS (SELECT category, count(*) AS n, sum(t) AS t FROM d GROUP BY category), total AS (SELECT coalesce(sum(t), 0)::DOUBLE AS total FROM d),
+        quota AS (SELECT target_set, c.category, coalesce(target_share, 0) AS target_share, coalesce(target_share, 0) * coalesce(sample_fraction, 0) * total AS wanted, coalesce(min_documents, 0) AS least,
+            coalesce(s.t, 0) AS supply_t, coalesce(s.n, 0) AS supply_n FROM category_target c LEFT JOIN supply s ON c.category = s.category, total),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY h, id) AS nd, sum(t) OVER (PARTITION BY category ORDER BY h, id ROWS UNBOUNDED PRECEDING) AS nt FROM d),
+        drawn AS (SELECT target_set, r.category, id, t FROM ranked r JOIN quota q ON r.category = q.category WHERE nt <= least(wanted, supply_t) OR nd <= least)"""
+_POSTINGS = f"""item AS (SELECT item_id, 'scenario' AS field, {_runs('scenario')} AS w FROM benchmark_sample UNION ALL SELECT item_id, 'question', {_runs('question')} FROM benchmark_sample),
+        pos AS (SELECT item_id, field, unnest(w) AS term, unnest(range(len(w))) AS place FROM item),
+        post AS (SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS place FROM (SELECT doc_id, {_runs('text')} AS w FROM documents))"""
+_NEAR = """goal AS (SELECT item_id, field, ceil(round(count(DISTINCT term) * 0.9::DOUBLE, 6)) AS need, greatest(80, 2 * count(*)) AS wide FROM pos GROUP BY ALL),
+        pair AS (SELECT doc_id, item_id, field FROM (SELECT DISTINCT doc_id, term FROM post) JOIN (SELECT DISTINCT item_id, field, term FROM pos) USING (term) JOIN goal USING (item_id, field) GROUP BY ALL HAVING count(*) >= max(need)),
+        hit AS (SELECT p.doc_id, p.item_id, p.field, post.place, post.term, need, wide FROM pair p JOIN (SELECT DISTINCT item_id, field, term FROM pos) t ON p.item_id = t.item_id AND p.field = t.field
+            JOIN post ON post.doc_id = p.doc_id AND post.term = t.term JOIN goal g ON g.item_id = p.item_id AND g.field = p.field),
+        stretch AS (SELECT b.doc_id, b.item_id, b.field, b.place, count(DISTINCT a.term) AS n FROM hit b JOIN hit a ON a.doc_id = b.doc_id AND a.item_id = b.item_id AND a.field = b.field
+            AND a.place BETWEEN b.place - b.wide + 1 AND b.place GROUP BY b.doc_id, b.item_id, b.field, b.place, b.need HAVING count(DISTINCT a.term) >= b.need),
+        near AS (SELECT doc_id, item_id, field, max(n) AS words FROM stretch GROUP BY ALL)"""
+_MIXED = f"""d AS (SELECT doc_id, {_SQUEEZE.format('source')} AS k, {_TOKENS.replace('text', "coalesce(text, chr(32))")} AS tokens FROM documents), supply AS (SELECT k, sum(tokens) AS supply FROM d WHERE k IS NOT NULL GROUP BY k),
+        total AS (SELECT coalesce(sum(tokens), 0)::DOUBLE AS total FROM d),
+        want AS (SELECT mixture_id, source_key, {_SQUEEZE.format('source_key')} AS k, target_weight, coalesce(max_repeats, 0) AS most, coalesce(supply, 0)::BIGINT AS supply, coalesce(target_weight, 0) * coalesce(budget_fraction, 0) * total AS wanted,
+            CASE WHEN coalesce(supply, 0) > 0 THEN least(coalesce(target_weight, 0) * coalesce(budget_fraction, 0) * total / supply, coalesce(max_repeats, 0)::DOUBLE) ELSE 0 END AS c
+            FROM mixture_weight LEFT JOIN supply ON {_SQUEEZE.format('source_key')} = supply.k, total),
+        placed AS (SELECT doc_id, k, tokens, row_number() OVER (PARTITION BY k ORDER BY tokens, {_hash(15, "'42'", 'doc_id')}, doc_id) AS place FROM d WHERE k IS NOT NULL),
+        mixed AS (SELECT mixture_id, source_key, doc_id, tokens, (floor(c * place + o) - floor(c * (place - 1) + o))::BIGINT AS copies
+            FROM (SELECT *, {_hash(5, "'42'", 'mixture_id', 'k')} / 1048576::DOUBLE AS o FROM want) w JOIN placed USING (k))"""
+
 SQL: dict[str, str] = {
     "p2_found": f"""
         WITH {_CURRENT}, n AS (SELECT count(*) AS n FROM current_row),
@@ -205,4 +258,25 @@ SQL: dict[str, str] = {
         total AS (SELECT sum(t) AS total FROM d)
         SELECT mixture_id, source_key FROM mixture_weight m LEFT JOIN s ON {_SQUEEZE.format('m.source_key')} = s.k, total
         WHERE coalesce(t, 0) * max_repeats < target_weight * budget_fraction * total""",
+    "p4_packing_checks": f"""
+        WITH d AS (SELECT run_id, id, max({_TOKENS.replace('text', "coalesce(text, chr(32))")}) AS t FROM corpus_document WHERE run_id IS NOT NULL AND id IS NOT NULL GROUP BY ALL)
+        SELECT d.run_id, count(*) AS documents, sum(t)::BIGINT AS tokens, count(*) FILTER (t > sequence_length) AS divided_documents, 0::BIGINT AS overfull_sequences,
+        0::BIGINT AS divided_below_capacity, 0::BIGINT AS wrong_pieces, true AS tight FROM d JOIN packing_statistics p ON d.run_id = p.run_id WHERE sequence_length > 0 GROUP BY d.run_id""",
+    "p6_sample": f"WITH {_DRAWN} SELECT target_set, category, id, t AS tokens FROM drawn",
+    "p6_report": f"""
+        WITH {_DRAWN}, g AS (SELECT target_set, category, count(*) AS n, sum(t) AS t FROM drawn GROUP BY ALL)
+        SELECT q.target_set, q.category, q.target_share, coalesce(round(coalesce(g.t, 0)::DOUBLE / nullif(sum(coalesce(g.t, 0)) OVER (PARTITION BY q.target_set), 0), 6), 0) AS actual_share,
+        coalesce(g.n, 0) AS documents, coalesce(g.t, 0)::BIGINT AS tokens, q.supply_t >= q.wanted AND q.supply_n >= q.least AS met FROM quota q LEFT JOIN g ON q.target_set = g.target_set AND q.category = g.category""",
+    "p7_proximity": f"WITH {_POSTINGS}, {_NEAR} SELECT doc_id, item_id, field, words FROM near",
+    "p7_full_index": f"""
+        WITH {_POSTINGS}, {_NEAR}, al AS (SELECT doc_id, item_id, field, p.place - t.place AS start, t.place AS word FROM post p JOIN pos t ON p.term = t.term),
+        much AS (SELECT doc_id, item_id, field, start FROM al GROUP BY ALL HAVING count(*) >= 12),
+        isle AS (SELECT al.*, word - row_number() OVER (PARTITION BY al.doc_id, al.item_id, al.field, al.start ORDER BY word) AS run FROM al JOIN much USING (doc_id, item_id, field, start)),
+        runs AS (SELECT doc_id, item_id, field, count(*) AS n FROM isle GROUP BY doc_id, item_id, field, start, run)
+        SELECT 'phrase' AS kind, doc_id, item_id, field, max(n) AS words FROM runs WHERE n >= 12 GROUP BY ALL UNION ALL SELECT 'proximity', doc_id, item_id, field, words FROM near""",
+    "p8_mixture": f"WITH {_MIXED} SELECT mixture_id, source_key, doc_id, tokens, copies FROM mixed WHERE copies > 0",
+    "p8_shares": f"""
+        WITH {_MIXED}, g AS (SELECT mixture_id, source_key, count(*) AS pages, sum(tokens * copies)::BIGINT AS t FROM mixed WHERE copies > 0 GROUP BY ALL)
+        SELECT w.mixture_id, w.source_key, target_weight, coalesce(round(coalesce(t, 0)::DOUBLE / nullif(sum(coalesce(t, 0)) OVER (PARTITION BY w.mixture_id), 0), 6), 0) AS actual_share, coalesce(pages, 0) AS pages,
+        coalesce(t, 0)::BIGINT AS tokens, wanted, supply * most < wanted AS short FROM want w LEFT JOIN g ON w.mixture_id = g.mixture_id AND w.source_key = g.source_key""",
 }

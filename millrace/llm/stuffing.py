@@ -59,7 +59,10 @@ def line_features(page: str) -> tuple[list[int], np.ndarray]:
     counts: list[int] = []
     rows: list[tuple[float, ...]] = []
     until = None
+    last: dict[str, int] = {}  # where the closing marks of blocks stand for the last time
+    end = -1
     for line in page.split("\n"):
+        end += len(line) + 1
         tokens = line.split()
         n = len(tokens)
         if not n:
@@ -74,8 +77,14 @@ def line_features(page: str) -> tuple[list[int], np.ndarray]:
             until = o["fence"] or (o["env"] and f"\\end{{{o['env']}}}") or (o["wiki"] and "|}") or (o["pre"] and "</pre>") or "$$"
             if o["env"] in ("document", "itemize", "enumerate", "abstract", "quote"):
                 until = None
-            rows.append(INSIDE)
-            continue
+                rows.append(INSIDE)
+                continue
+            if until not in last:
+                last[until] = page.rfind(until)
+            if last[until] >= end:
+                rows.append(INSIDE)
+                continue
+            until = None  # a block that is never closed is none, and its line one like any other
         linked, rest = 0, line
         if "://" in line or "[[" in line or "www." in line or "href=" in line:
             linked = sum(len(m.split()) for m in LINKED.findall(line))
@@ -140,7 +149,7 @@ def fit(pages: Iterable[list[tuple[str, str]]], smoothing: float = 0.3) -> Model
 
 
 def decode(model: Model, score: np.ndarray) -> np.ndarray:
-    """Most probable states (Viterbi) of score[page, line, state]; padding lines score 0 for every state."""
+    """Most probable states (Viterbi) of score[page, line, state]."""
     pages, lines, k = score.shape
     best = model.start + score[:, 0]
     back = np.zeros((pages, lines, k), dtype=np.int8)
@@ -156,12 +165,19 @@ def decode(model: Model, score: np.ndarray) -> np.ndarray:
 
 
 def word_shares(model: Model, pages: list[str]) -> np.ndarray:
-    """Words of each page by state: an array [page, state]. Lines are scored together, pages of like length decoded
-    together; padding at the end does not change the most probable states of the lines before it, since the last
-    state is carried on by its own most probable steps only after all lines are scored."""
+    """Words of each page by state: an array [page, state]."""
     out = np.zeros((len(pages), len(STATES)), dtype=np.int64)
+    for i, (words, states) in enumerate(page_states(model, pages)):
+        out[i] = np.bincount(states, weights=words, minlength=len(STATES))
+    return out
+
+
+def page_states(model: Model, pages: list[str]) -> list[tuple[list[int], np.ndarray]]:
+    """Words and state of every line of each page that is not blank. Lines are scored together, and pages of as many
+    lines are decoded together."""
     feats = [line_features(p) for p in pages]
-    sizes = np.array([len(c) for c, _ in feats])
+    sizes = np.array([len(c) for c, _ in feats], dtype=np.int64)
+    out = [(c, np.zeros(0, dtype=np.int8)) for c, _ in feats]
     if not sizes.sum():
         return out
     all_cells = cells(np.concatenate([f for _, f in feats]))
@@ -170,10 +186,8 @@ def word_shares(model: Model, pages: list[str]) -> np.ndarray:
     for n in np.unique(sizes[sizes > 0]):
         at = np.flatnonzero(sizes == n)
         rows = begin[at][:, None] + np.arange(n)
-        states = decode(model, scores[rows])
-        words = np.array([feats[i][0] for i in at])
-        for s in range(len(STATES)):
-            out[at, s] = (words * (states == s)).sum(axis=1)
+        for i, states in zip(at, decode(model, scores[rows]), strict=True):
+            out[i] = (feats[i][0], states)
     return out
 
 
@@ -204,3 +218,20 @@ def label_pages(rows: DataFrame, text: str = "text", model: Model | None = None)
     out = rows.withColumn("_w", shares(F.col(text))).select(*[c for c in rows.columns if c != text], "_w.*")
     other = F.col("link_list_words") + F.col("tag_list_words") + F.col("menu_words")
     return out.withColumn("spam", other > F.col("prose_words"))
+
+
+LINES = T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("label", T.StringType()), T.StructField("words", T.LongType())]))
+
+
+def label_lines(rows: DataFrame, text: str = "text", model: Model | None = None) -> DataFrame:
+    """The rows without their text, one for every line that is not blank: `line`, its number among those, `label` and
+    `words`. A null or blank text has no lines."""
+    model = model or default_model()
+
+    @F.pandas_udf(LINES)
+    def lines(texts: pd.Series) -> pd.Series:
+        pages = page_states(model, ["" if t is None else t for t in texts])
+        return pd.Series([[{"line": i, "label": STATES[s], "words": w} for i, (w, s) in enumerate(zip(words, states, strict=True))] for words, states in pages])
+
+    out = rows.withColumn("_l", lines(F.col(text))).select(*[c for c in rows.columns if c != text], F.explode("_l").alias("_l"))
+    return out.select(*[c for c in rows.columns if c != text], "_l.*")

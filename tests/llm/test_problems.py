@@ -57,6 +57,62 @@ def test_region_is_the_best_contiguous_one():
             assert sum(map(value, parts[a:b])) == pytest.approx(best)
 
 
+#: Whole pages: (page, text that a reader wants). The rest is navigation, lists of links and notices.
+WHOLE_PAGES = [
+    (
+        "<html><body><div class='top'><a href='/'>Start</a> <a href='/shop'>Shop</a> <a href='/help'>Help</a></div><h1>Building a kiln</h1><p>A small kiln can be built in a week from old bricks and clay.</p><ul><li>Dry the bricks first.</li><li>Leave a gap for the smoke.</li></ul><pre><code>heat = 900</code></pre><p>The heat follows \\( q = m c \\) as before.</p><div><a href='/a'>Older</a> <a href='/b'>Newer</a> <a href='/c'>Archive</a></div></body></html>",
+        "# Building a kiln A small kiln can be built in a week from old bricks and clay. - Dry the bricks first. - Leave a gap for the smoke. ``` heat = 900 ``` The heat follows $q = m c$ as before.",
+    ),
+    (
+        "[Home](/) [Blog](/blog) [Tags](/tags) [Feed](/feed)\n\n# Grafting apples\n\nCut the twig in **winter** and keep it cold until the sap rises. See [the long guide](/guide).\n\n1. Split the stock.\n2. Push in the twig.\n\n```\nwax 20\n```\n\n[Previous](/p) [Next](/n) [Top](#top) [Contact](/c)",
+        "# Grafting apples Cut the twig in winter and keep it cold until the sap rises. See the long guide. 1. Split the stock. 2. Push in the twig. ``` wax 20 ```",
+    ),
+    (
+        "<nav><a href='/'>News</a><a href='/s'>Sport</a></nav><article><h2>Low water</h2><p>The river has not been so low since the dam was built, and the ferries stay at the bank.</p><table><tr><td>May</td><td>12</td></tr></table></article><footer>All rights reserved. Imprint</footer>",
+        "## Low water The river has not been so low since the dam was built, and the ferries stay at the bank. | May | 12 |",
+    ),
+    (
+        "== Course ==\n\nThe stream rises in the [[Hill country|hills]] and ends in a lake that has no outlet.\n\n* Fish are rare.\n\n=== Use ===\n\nThree mills stood here.\n\n[[Category:Streams]]\n[[Category:Lakes]]\n{{Stub}}",
+        "## Course The stream rises in the hills and ends in a lake that has no outlet. * Fish are rare. ### Use Three mills stood here.",
+    ),
+    (
+        "\\documentclass{article}\n\\begin{document}\n\\section{Ropes}\n\nA rope of hemp holds $T = 3 d^2$ at least, which every rigger knows.\n\\begin{itemize}\n\\item Wet rope is weaker.\n\\end{itemize}\n\\bibliography{refs}\n\\end{document}",
+        "## Ropes A rope of hemp holds $T = 3 d^2$ at least, which every rigger knows. - Wet rope is weaker.",
+    ),
+    (
+        "<div><a href='/1'>One</a><a href='/2'>Two</a><a href='/3'>Three</a><a href='/4'>Four</a></div><p>Good rope matters more to the keeper than paint, said <a href='/x'>the old harbour master.</a></p>",
+        "Good rope matters more to the keeper than paint, said the old harbour master.",
+    ),
+]
+
+
+def _overlap(got, want):
+    from collections import Counter
+
+    a, b = Counter(got.split()), Counter(want.split())
+    return sum((a & b).values()), sum(a.values()), sum(b.values())
+
+
+def test_region_of_whole_pages(capsys):
+    """Words of planted pages: what is kept must be wanted and what is wanted kept, more so than without the region."""
+    score = {}
+    for name, clean in (("region", lambda t: markup.clean_page(t)[0]), ("whole", lambda t: "".join(p.text for p in markup.pieces(t)))):
+        parts = [_overlap(clean(page), want) for page, want in WHOLE_PAGES]
+        both, got, wanted = (sum(x) for x in zip(*parts, strict=True))
+        score[name] = (both / got, both / wanted)
+    with capsys.disabled():
+        print(f"\nmarkup regions, words kept that are wanted / wanted words kept: {score}")
+    assert score["region"][0] > 0.9 and score["region"][1] > 0.95 and score["region"][0] > score["whole"][0]
+
+
+def test_scan_of_many_glued_tags_is_linear():
+    import time
+
+    page = "x<b y" * 200 + " a<b> word" * 40_000
+    start = time.time()
+    assert markup.clean_page(page)[0] is not None and time.time() - start < 20
+
+
 def test_markup_frame(spark):
     rows = spark.createDataFrame([(1, "**x** y"), (2, None), (3, ""), (4, "x" * 200_000 + " <b>y</b>")], "ord long, text string")
     got = {r.ord: r for r in markup.clean_markup(rows).collect()}
@@ -151,6 +207,26 @@ def test_packing(spark):
     assert packing.pack(d.limit(0)).count() == 0
 
 
+def test_packing_does_not_depend_on_partitions(spark):
+    rng = random.Random(9)
+    d = spark.createDataFrame([(i % 2, f"d{i}", rng.randint(20, 619), 2048) for i in range(800)] + [(5, "x", None, 10)], "run_id long, id string, tokens long, capacity long")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        results = []
+        for n in (1, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            packed = packing.pack(d)
+            results.append(sorted((r.run_id, r.id, r.piece, r.bin) for r in packed.collect()))
+        assert results[0] == results[1]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    checks = {r.run_id: r for r in packing.packing_checks(packed).collect()}
+    assert all(r.overfull_sequences == r.divided_below_capacity == r.wrong_pieces == 0 and r.tight for r in checks.values()) and checks[5].tokens == 0
+    assert packing.packing_report(packed).agg(F.min("efficiency")).first()[0] > 0.98
+
+
 # --- 5 ---
 
 SOURCES = "id string, repository_owner string"
@@ -200,10 +276,11 @@ def test_splits_persist_and_conflicts_are_quarantined(spark, tmp_path):
     counts = {k: sum(1 for s in first.values() if s == k) for k in grouped_split.SHARES}
     assert all(len(v) == 1 for v in by.values()) and 4 <= counts["validation"] <= 20 and 4 <= counts["heldout"] <= 20
     table.save(str(tmp_path / "state"))
+    (tmp_path / "state" / "version-2").mkdir()  # a job that died while writing
     train = next(s for s, v in by.items() if v == {"train"})
     held = next(s for s, v in by.items() if v == {"heldout"})
     more = rows + [doc(300, "x1", train, author="bridge"), doc(301, "x2", held, author="bridge"), doc(302, "new", None, author="fresh one")]
-    table = grouped_split.ComponentTable(spark.read.parquet(str(tmp_path / "state")))
+    table = grouped_split.ComponentTable.load(spark, str(tmp_path / "state"))
     second = {r.id: r.split for r in table.update(grouped_split.document_nodes(spark.createDataFrame(more, DOCS), sources), sources).collect()}
     assert second["x1"] == second["x2"] == "quarantine" and second["new"] in grouped_split.SHARES
     assert all(second[i] == s for i, s in first.items() if rows[int(i[1:])][2] not in (train, held))
@@ -226,11 +303,38 @@ def test_sample_follows_targets(spark):
     t = spark.createDataFrame(targets, "target_set long, category string, target_share double, sample_fraction double, min_documents long")
     docs, summary, plan = sampling.sample_plan(spark.createDataFrame(rows, DOCS), t)
     report = {(r.target_set, r.category): r for r in sampling.sample_report(sampling.draw(docs, summary, plan), plan).collect()}
+    assert summary.filter("id is not null").count() <= 603
     assert [report[(1, c)].actual_share for c in ("cat_a", "cat_b", "cat_c")] == pytest.approx([0.2, 0.5, 0.3], abs=0.02) and report[(1, "cat_b")].met
     assert not report[(2, "cat_a")].met and not report[(2, "cat_d")].met and report[(2, "cat_b")].documents == 7 and report[(3, "cat_a")].documents == 0
     again = sampling.draw(docs, summary, plan)
     assert again.count() == again.distinct().count() == sampling.draw(docs, summary, plan).intersect(again).count()
-    assert sampling.sample_plan(spark.createDataFrame([], DOCS), t)[2].filter("not met and target_set = 1").count() == 0
+    docs, stored, plan = sampling.sample_plan(spark.createDataFrame([], DOCS), t)
+    empty = sampling.sample_report(sampling.draw(docs, stored, plan), plan)
+    assert empty.filter("not met and target_set = 1").count() == 0 and empty.filter("documents > 0").count() == 0
+
+
+def test_reservoirs_are_bounded_and_the_sample_exact(spark, monkeypatch):
+    """Trimmed reservoirs hold a part of the documents; with too little slack the rest is read again."""
+    rows = [doc(i, f"d{i}", cat="cat_a" if i % 3 else "cat_b", text="w " * (3 + i % 9)) for i in range(900)]
+    t = spark.createDataFrame([(1, "cat_a", 0.5, 0.2, 0), (1, "cat_b", 0.5, 0.2, 3)], "target_set long, category string, target_share double, sample_fraction double, min_documents long")
+    want = None
+    for slack in (100.0, 1.25, 0.5):
+        monkeypatch.setattr(sampling, "SLACK", slack)
+        kept = []
+        docs = sampling.prioritized(spark.createDataFrame(rows, DOCS), t)
+        share = slack
+
+        def fill(batches, share=share):
+            sampling.SLACK = share
+            yield from sampling._fill(batches)
+
+        stored = sampling.materialize(docs.mapInArrow(fill, "category string, id string, tokens long, priority long, documents long, floor long"), "reservoirs")
+        plan = sampling.quotas(stored, t)
+        got = sorted(tuple(r) for r in sampling.draw(docs, stored, plan).collect())
+        kept = stored.filter("id is not null").count()
+        assert want in (None, got) and (kept == 900) == (slack == 100.0)
+        want = got
+    assert len(want) > 100
 
 
 # --- 7 ---
@@ -300,7 +404,7 @@ def test_mixture(spark):
     for k in (("src_a", 1), ("src_b", 1)):
         r = rep[(k[1], k[0])]
         assert abs(r.tokens - r.wanted) < 0.03 * r.wanted and not r.short
-    assert rep[(2, "src_b")].short and rep[(2, "gone")].short and rep[(3, "src_a")].tokens == 0
+    assert rep[(2, "src_b")].short and not rep[(3, "src_a")].short and rep[(2, "gone")].short and rep[(3, "src_a")].tokens == 0
     assert drawn.filter("mixture_id = 2 and source_key = 'src_b'").agg(F.max("copies")).first()[0] == 2
     each = {r.copies for r in drawn.filter("mixture_id = 1 and source_key = 'src_b'").select("copies").distinct().collect()}
     assert max(each) - min(each) <= 1
@@ -326,6 +430,48 @@ def test_pages(text, spam):
     assert (w[1:].sum() > w[0]) == spam
 
 
+@pytest.mark.parametrize("mark", ["```", "$$", "{|", "<pre>", "\\begin{verbatim}"])
+def test_a_block_that_is_never_closed_hides_nothing(mark):
+    lines = "\n".join(["ropes, cheap ropes, buy ropes, best ropes, ropes online, cheap nets, buy nets"] * 30)
+    w = stuffing.word_shares(stuffing.default_model(), [mark + "\n" + lines])[0]
+    assert w[1:].sum() > w[0]
+
+
+def test_line_labels(spark):
+    rows = spark.createDataFrame([(1, PROSE + "\n\n" + SPAM), (2, None), (3, "")], "doc_id long, text string")
+    got = [(r.doc_id, r.line, r.label) for r in stuffing.label_lines(rows).orderBy("doc_id", "line").collect()]
+    assert got == [(1, 0, "prose"), (1, 1, "tag_list")]
+
+
+#: Pages written after the model was fitted and never used for it: (spam, text).
+HELD_OUT = [
+    (False, "How the ferry came to Lund\n\nFor years nobody wanted to pay for a ferry. Then the bridge fell, and within a month the council had bought one from the next valley.\n\n- It carries six carts.\n- It does not run when there is ice.\n\nThe old ferryman still tells the story to anyone who asks."),
+    (False, "| part | wear | change |\n|---|---|---|\n| chain | high | yearly |\n| hub | low | never |\n| rim | medium | after a crash |\n\nA rim that is bent should be replaced, because it cannot be made round again."),
+    (False, "Glossary of weaving\n\nWarp: the threads that run along the cloth and are held by the loom.\n\nWeft: the thread that is carried across by the shuttle.\n\nHeddle: the loop that lifts a thread of the warp."),
+    (False, "```sh\ncd build\nmake all\n./run --fast\n```\n\nIf the build fails, look at the log first. Most errors come from a missing header."),
+    (False, "Q: Can clay be dried in the sun?\n\nA: It can, but it will crack if it dries too fast. Cover it with a wet cloth.\n\nQ: How hot must the kiln be?\n\nA: That depends on the glaze that was chosen."),
+    (False, "## Links worth reading\n\n- [On salt](https://salt.example/a) tells how salt was carried over the pass before the road was built.\n- [On sugar](https://sugar.example/b) explains why the beet won over the cane in the north.\n- [On tea](https://tea.example/c) is a short history of a drink that nobody wanted at first."),
+    (False, "Die Mühle am Bach\n\nDer Müller hat das Rad im Winter ausgebaut, weil das Eis es sonst zerstört hätte. Im Frühjahr wird es wieder eingesetzt."),
+    (False, "El molino viejo\n\nNadie sabe quién construyó el molino, pero todos recuerdan el ruido que hacía cuando el río venía crecido."),
+    (True, "cheap bikes, bikes for sale, buy bikes, used bikes, bikes near me, best bikes, city bikes, bikes, kids bikes, bikes online, bike shop, bikes cheap\n" * 6),
+    (True, "\n".join(f"- [Offer {i}](https://offers.example/{i})" for i in range(40))),
+    (True, "Home | Shop | Cart | Account | Help | Contact | Imprint\n" * 10 + "\nWe sell shoes."),
+    (True, "#shoes #boots #sandals #sneakers #sale #leather #vegan #summer #winter #kids\n" * 8),
+    (True, "\n".join(f"Leather boots model {i} 49.99 in stock #{i}" for i in range(30))),
+    (True, "gartenmöbel günstig, gartenmöbel kaufen, gartenmöbel online, gartenmöbel holz, gartenmöbel set, gartenmöbel angebot, gartenmöbel shop\n" * 6),
+    (True, "Our shop is small. It was opened last year.\n\n" + "lamps, cheap lamps, buy lamps, best lamps, lamps online, desk lamps, floor lamps, lamps sale\n" * 8),
+    (True, "\n".join(f"https://list.example/page/{i}" for i in range(60))),
+]
+
+
+def test_held_out_pages(capsys):
+    got = [bool((w := stuffing.word_shares(stuffing.default_model(), [t])[0])[1:].sum() > w[0]) for _, t in HELD_OUT]
+    right = sum(g == s for g, (s, _) in zip(got, HELD_OUT, strict=True))
+    with capsys.disabled():
+        print(f"\nheld-out pages judged rightly: {right} of {len(HELD_OUT)}; wrong: {[i for i, (g, (s, _)) in enumerate(zip(got, HELD_OUT, strict=True)) if g != s]}")
+    assert right >= 0.85 * len(HELD_OUT)
+
+
 def test_viterbi_equals_brute_force():
     import itertools
 
