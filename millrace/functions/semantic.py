@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import vocabulary as V
@@ -76,3 +76,12 @@ def classify(text: Column, found: Column, hint: Column, signals: Mapping[str, Se
         return F.when(total == 0, none).otherwise(best)
 
     return let(F.array_sort(F.array(*scores)), pick)
+
+
+def annotate(docs: DataFrame) -> DataFrame:
+    """docs(text, category_hint, ...) with related_concepts, candidate_concepts, primary_category and
+    category_confidence. A null text names nothing, and its hint alone decides."""
+    text = F.coalesce("text", F.lit(""))
+    found = docs.withColumn("related_concepts", concepts(text)).withColumn("candidate_concepts", candidates(text))
+    best = classify(text, F.col("related_concepts"), F.col("category_hint"))
+    return found.withColumn("_best", best).withColumn("primary_category", F.col("_best.category")).withColumn("category_confidence", F.col("_best.confidence")).drop("_best")

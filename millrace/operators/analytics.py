@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import vocabulary as V
-from millrace.functions.text import WS, words
+from millrace.functions.text import PIECE, WS
 
 
 def corpus_stats(docs: DataFrame, rejected: DataFrame | None = None, duplicates: DataFrame | None = None) -> DataFrame:
     """Per source: accepted documents, characters, words, their averages, and rejected and duplicate documents."""
     text = F.coalesce(F.col("text"), F.lit(""))
     stats = docs.groupBy("source_id").agg(
-        F.count("*").alias("documents"), F.sum(F.length(text)).alias("characters"), F.sum(F.size(words(text))).cast("long").alias("words"),
+        F.count("*").alias("documents"), F.sum(F.length(text)).alias("characters"), F.sum(F.regexp_count(text, F.lit(PIECE))).cast("long").alias("words"),
     )
     for name, frame in (("rejected", rejected), ("duplicates", duplicates)):
         if frame is not None:
@@ -168,6 +168,12 @@ def rarity(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode("related_concepts").alias("concept"), "source_id").groupBy("concept").agg(F.count_distinct("source_id").alias("sources"))
 
 
+def document_rarity(docs: DataFrame) -> DataFrame:
+    """(id, rarity) of the documents that have concepts: the distinct sources of their rarest one."""
+    spread = docs.select("id", F.explode("related_concepts").alias("concept")).join(F.broadcast(rarity(docs)), "concept")  # one row per concept of the vocabulary
+    return spread.groupBy("id").agg(F.min("sources").alias("rarity"))
+
+
 def capacity(docs: DataFrame, sources: DataFrame, targets: Mapping[str, float], target_tokens: int) -> DataFrame:
     """Per target category: wanted and available tokens, the deficit and its cause.
 
@@ -216,16 +222,34 @@ def license_audit(docs: DataFrame) -> DataFrame:
     return docs.groupBy(name.alias("license")).agg(F.count("*").alias("documents"), F.count_if(missing | F.col("license_id").isNull()).alias("unverified"))
 
 
-def fingerprint(docs: DataFrame, prefix: str = "", bits: int = 8) -> DataFrame:
-    """One row: a hash over (id, content hash, license) of all documents, independent of order and partitions.
+def set_hash(hashes: DataFrame, prefix: str = "", most: int = 4096) -> DataFrame:
+    """One row: `fingerprint` of hashes(h), SHA-256 values in hexadecimal, independent of order and partitions.
 
-    The documents' hashes are sorted and hashed within 2**bits ranges of their values, and the ranges' hashes again, so
-    no task gathers the corpus and the sorted order is the global one.
+    Up to `most` rows it is the hash of the prefix and all values in sorted order. A larger set is first hashed in the
+    same way within ranges of the values, 4,096 times as many at every further level, so that no task gathers more than
+    about `most` of them; the ranges' hashes are then joined level by level. Repeated values count.
     """
+    n = hashes.count()
+    level = 0
+    while n > most * 4096**level:
+        level += 1
+    rows = hashes.select("h", F.col("h").alias("h0"))
+    for depth in range(level, 0, -1):
+        joined = F.transform(F.array_sort(F.collect_list(F.struct("h0", "h"))), lambda x: x["h"])
+        rows = rows.groupBy(F.substring("h0", 1, 3 * depth).alias("h0")).agg(F.sha2(F.array_join(joined, ""), 256).alias("h")).select("h", "h0")
+    joined = F.transform(F.array_sort(F.collect_list(F.struct("h0", "h"))), lambda x: x["h"])
+    return rows.agg(F.sha2(F.concat(F.lit(prefix), F.array_join(joined, "")), 256).alias("fingerprint"))
+
+
+def fingerprint(docs: DataFrame, prefix: str = "") -> DataFrame:
+    """One row: `set_hash` over (id, content hash, license) of all documents."""
     leaf = F.sha2(F.concat_ws("\x00", "id", F.sha2("text", 256), F.coalesce("license_id", F.lit(""))), 256)
-    nibbles = bits // 4
-    groups = docs.select(leaf.alias("h")).groupBy(F.substring("h", 1, nibbles).alias("g")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("h"))
-    return groups.agg(F.sha2(F.concat(F.lit(prefix), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("g", "h"))), lambda x: x["h"]), "")), 256).alias("fingerprint"))
+    return set_hash(docs.select(leaf.alias("h")), prefix)
+
+
+def corpus_hash(docs: DataFrame) -> DataFrame:
+    """One row: `set_hash` of the content hashes of all documents; null texts count as empty."""
+    return set_hash(docs.select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("h")))
 
 
 def review_sample(docs: DataFrame, categories: Sequence[str], per_category: int = 5) -> DataFrame:

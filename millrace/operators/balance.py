@@ -8,54 +8,58 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.analytics import token_totals
-from millrace.runtime import materialize, running_totals
+from millrace.operators.analytics import capped_sources, token_totals
+from millrace.runtime import materialize, release, running_totals
 
 CAPS = {"source_id": 0.30, "category": 0.40, "organization": 0.40}
 #: Removals that do not lower the excess by more than this do not count.
 EPSILON = 1e-12
 
 
-def balance(docs: DataFrame, caps: Mapping[str, float] = CAPS, tolerance: float = 0.001, rounds: int = 20) -> DataFrame:
-    """docs(id, source_id, category, organization, tokens, score) with `kept`: caps on the share of tokens that one
-    source, category or organization may hold among the kept documents.
+def balance(docs: DataFrame, caps: Mapping[str, float] = CAPS, tolerance: float = 0.001) -> DataFrame:
+    """docs(id, source_id, category, organization, tokens, score) with `kept`, and `satisfied`, the same in every row: caps
+    on the share of tokens that one source, category or organization may hold among the kept documents.
 
     Each round looks at one dimension, the one with the largest excess over its cap. The groups over the cap are fewer
     than 1/cap, so their totals fit the driver whatever the corpus; from them follows how many tokens each must lose
     so that all of them are at the cap of what remains. The worst documents of such a group go first (lowest score,
-    then most tokens, then id), found by a running total that never gathers a group. The rounds end when all caps
-    hold within the tolerance or a group cannot be cut further, for which the caller finds the caps unsatisfied.
+    then most tokens, then id), found by a running total that never gathers a group. Every round removes documents, and the rounds end when all caps hold
+    within the tolerance, or when only a cap that no removal can reach is left: `satisfied` tells which.
     Null keys form a group of their own; null tokens count 0 and null scores as lowest.
     """
     slim = docs.select(
         "id", *[F.coalesce(F.col(d), F.lit("(none)")).alias(d) for d in CAPS], F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"), F.coalesce("score", F.lit(0.0)).alias("score")
     )
     kept = materialize(slim, "balance")
-    for _ in range(rounds):
-        totals = materialize(token_totals(kept), "totals")
-        total = totals.filter("dimension = 'source_id'").agg(F.sum("tokens")).first()[0] or 0
-        if not total:
+    settled = False
+    while True:
+        whole = kept.agg(F.sum("tokens")).first()[0] or 0
+        if not whole:
             break
-        worst, dimension, groups = tolerance, None, []
-        for d, cap in caps.items():
-            over = totals.filter((F.col("dimension") == d) & (F.col("tokens") > F.lit(cap) * F.lit(total))).select("value", "tokens").collect()  # fewer than 1 / cap rows
-            excess = sum(r["tokens"] / total - cap for r in over)
-            if excess > worst:
-                worst, dimension, groups = excess, d, over
-        if dimension is None:
+        limit = F.create_map(*[x for d, cap in caps.items() for x in (F.lit(d), F.lit(float(cap)))])[F.col("dimension")]
+        over = token_totals(kept).filter(F.col("tokens") > limit * F.lit(whole)).collect()  # fewer than 1 / cap rows for each cap
+        excess = {d: sum(r["tokens"] / whole - cap for r in over if r["dimension"] == d) for d, cap in caps.items()}
+        dimension = max(excess, key=lambda d: excess[d])
+        if excess[dimension] <= tolerance:
+            settled = True
             break
+        groups = [r for r in over if r["dimension"] == dimension]
         cap, k = caps[dimension], len(groups)
-        rest = total - sum(g["tokens"] for g in groups)
+        rest = whole - sum(g["tokens"] for g in groups)
+        if not rest:
+            break  # all that is left is over the cap, whatever is removed
         level = cap * rest / (1 - cap * k) if cap * k < 1 else 0.0
         levels = kept.sparkSession.createDataFrame([(g["value"], float(max(0.0, g["tokens"] - level))) for g in groups], f"{dimension} string, lose double")
-        inside = kept.join(F.broadcast(levels), dimension)
+        inside = kept.join(F.broadcast(levels), dimension)  # as many rows as groups
         ranked = running_totals(inside, [dimension], [F.col("score"), -F.col("tokens"), F.col("id")], {"upto": F.col("tokens")}, "removal")
         gone = ranked.filter((F.col("upto") - F.col("tokens") < F.col("lose")) & (F.col("tokens") > 0)).select("id")
         smaller = materialize(kept.join(gone, "id", "left_anti"), "balance")
         if smaller.isEmpty():
             break
+        release(kept, ranked)
         kept = smaller
-    return docs.join(kept.select("id", F.lit(True).alias("kept")), "id", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+    out = docs.join(kept.select("id", F.lit(True).alias("kept")), "id", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+    return out.withColumn("satisfied", F.lit(settled))
 
 
 def balance_exact(rows: Sequence[tuple[str, str, str, str, int, float]], caps: Mapping[str, float] = CAPS, tolerance: float = 0.001) -> list[str]:
@@ -142,6 +146,18 @@ def select_budget(
     return docs.join(verdicts, "id", "left").withColumn("decision", F.coalesce("decision", F.lit("not_selected")))
 
 
+def preflight_violations(docs: DataFrame, sources: DataFrame, targets: Mapping[str, float], target_tokens: int, tolerance: float = 0.02, category_tolerance: float = 0.05) -> DataFrame:
+    """(rule, value) of every reason why no selection from docs(source_id, category, tokens) can reach the target: source
+    caps that add up to less, capped supply under the lower bound of the tolerance, a category with less than its share
+    less the tolerance. Sources are those of sources(id, source_token_cap)."""
+    caps = capped_sources(docs, sources, target_tokens).agg(F.coalesce(F.sum("cap"), F.lit(0)).alias("cap"), F.coalesce(F.sum("capped_tokens"), F.lit(0)).alias("reach"))
+    short = F.array_compact(F.array(F.when(F.col("cap") < target_tokens, F.struct(F.lit("source_caps").alias("rule"), F.col("cap").alias("v"))), F.when(F.col("reach") < int(target_tokens * (1 - tolerance)), F.struct(F.lit("eligible_tokens").alias("rule"), F.col("reach").alias("v")))))
+    out = caps.select(F.explode(short).alias("x")).select("x.rule", F.col("x.v").cast("string").alias("value"))
+    floors = docs.sparkSession.createDataFrame([(k, int(target_tokens * max(0.0, v - category_tolerance))) for k, v in targets.items()], "category string, least long")
+    have = floors.join(docs.groupBy("category").agg(F.sum("tokens").alias("t")), "category", "left")
+    return out.unionByName(have.filter(F.coalesce("t", F.lit(0)) < F.col("least")).select(F.lit("category_floor").alias("rule"), F.col("category").alias("value")))
+
+
 def selection_violations(selected: DataFrame, targets: Mapping[str, float], target_tokens: int, tolerance: float = 0.02, max_source_share: float = 0.30, category_tolerance: float = 0.05) -> DataFrame:
     """(rule, value) of every invariant that a final selection breaks: token tolerance, source share, category share,
     repeated ids and repeated contents. selected(id, source_id, category, tokens, content_sha256)."""

@@ -4,23 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import PIECE, WS, dedup_key, let, normalized
+from millrace.functions.text import PIECE, dedup_key, let, normalized
+from millrace.runtime import attach, lookup, materialize
 
 
 def exact_duplicates(docs: DataFrame, order: Sequence[Column], id_column: str = "id") -> DataFrame:
     """The rows with `dedup_key`, `canonical` (the id kept for their text) and `kept`; the first in `order` is kept.
 
-    Only key and order columns are compared; the kept row of a text is an aggregate combined before the shuffle, so
-    a text that a third of all rows share is no hot group. Rows without text share one key of their own.
+    The first row of a text is an aggregate of keys, ids and order columns, combined before the shuffle; only texts that
+    stand in several rows are stored. The rows, which carry the texts, are not moved if those are few; else a text that a
+    third of all rows share is joined apart from the others (`runtime.attach`). Rows without text share one key of
+    their own. `order` must end in a column that tells the rows of a text apart, else all equal first ones are kept.
     """
-    keyed = docs.withColumn("dedup_key", F.coalesce(dedup_key(F.col("text")), F.lit("")))
+    return mark_duplicates(docs.withColumn("dedup_key", dedup_key(F.col("text"))), order, id_column)
+
+
+def mark_duplicates(keyed: DataFrame, order: Sequence[Column], id_column: str = "id") -> DataFrame:
+    """`exact_duplicates` of rows that have their `dedup_key` already."""
+    keyed = keyed.withColumn("dedup_key", F.coalesce("dedup_key", F.lit("")))
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-    first = keyed.groupBy("dedup_key").agg(F.min(F.struct(rank.alias("rank"), F.col(id_column).alias("canonical"))).alias("first"))
-    out = keyed.join(first, "dedup_key")
-    return out.withColumn("kept", rank == F.col("first.rank")).withColumn("canonical", F.col("first.canonical")).drop("first")
+    slim = keyed.select("dedup_key", F.struct(rank.alias("rank"), F.col(id_column).alias("canonical")).alias("first"))
+    several = slim.groupBy("dedup_key").agg(F.min("first").alias("first"), F.count("*").alias("_n")).filter("_n > 1")
+    out = attach(keyed, materialize(several, "repeated_texts"), "dedup_key", "_n", F.to_json(F.struct(rank, F.col(id_column))))
+    out = out.withColumn("kept", F.col("_n").isNull() | (rank == F.col("first.rank")))
+    return out.withColumn("canonical", F.when(F.col("_n").isNull(), F.col(id_column)).otherwise(F.col("first.canonical"))).drop("first", "_n")
 
 
 def ngrams(text: Column, n: int = 4) -> Column:
@@ -36,12 +46,13 @@ def contamination(docs: DataFrame, samples: DataFrame, threshold: float = 0.50,
     """Pairs (doc_id, sample_id) whose sets of n-word runs overlap, with Jaccard similarity of at least `threshold`,
     and `containment`, the share of the sample's runs that the document has.
 
-    docs(doc_id, text), samples(sample_id, text). The runs of both sides are joined, never the texts with each other;
-    a run that no sample has is dropped before the shuffle by the semi-join of the join itself.
+    docs(doc_id, text), samples(sample_id, text). The runs of both sides are joined, never the texts with each other. The
+    samples' runs are stored and, up to a checked number, broadcast, so a document's runs that no sample has go no
+    further; beyond it a run that very many documents have is dealt over several tasks.
     """
     test = samples.select("sample_id", ngrams(F.col("text"), n).alias("runs")).select("sample_id", F.size("runs").alias("nb"), F.explode("runs").alias("run"))
     have = docs.select("doc_id", ngrams(F.col("text"), n).alias("runs")).select("doc_id", F.size("runs").alias("na"), F.explode("runs").alias("run"))
-    shared = have.join(test, "run").groupBy("doc_id", "sample_id", "na", "nb").agg(F.count("*").alias("both"))
+    shared = lookup(have, materialize(test, "test_runs"), ["run"]).groupBy("doc_id", "sample_id", "na", "nb").agg(F.count("*").alias("both"))
     jaccard = F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
     out = shared.select("doc_id", "sample_id", F.round(jaccard, 4).alias("jaccard"), F.round(F.col("both") / F.col("nb"), 4).alias("containment"), jaccard.alias("_j"))
     return out.filter(F.col("_j") >= threshold).drop("_j")
@@ -70,9 +81,3 @@ def shared_clusters(docs: DataFrame, near: DataFrame, sources: Sequence[str]) ->
         F.count("*").alias("documents"), F.coalesce(F.sum(F.when(~F.col("kept"), F.col("tokens"))), F.lit(0)).alias("tokens_saved"),
     )
     return g.filter((F.size("s") == len(set(sources))) & (F.col("other") == 0)).select("cluster", "documents", "tokens_saved")
-
-
-def first_in_order(docs: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
-    """The first n rows of every group."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return docs.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -145,3 +145,50 @@ def regressions(base: DataFrame, candidate: DataFrame, rate: float = 0.05, drop:
         tests += [F.when(F.col(f"b_{n}") > rate, f"base_unhealthy:{n}"), F.when(F.col(f"c_{n}") > F.col(f"b_{n}") + rate, f"regressed:{n}")]
     tests.append(F.when(F.col("c_mean_score") < F.col("b_mean_score") - drop, "regressed:mean_score"))
     return both.select(F.array_compact(F.array(*tests)).alias("failures")).select((F.size("failures") == 0).alias("passed"), "failures")
+
+
+#: Dimensions whose score under this is a failure of its own, with the name of the failure.
+WEAK, WEAK_BELOW = {"tradeoff_quality": "weak_tradeoffs", "reliability_reasoning": "missing_reliability", "revisit_conditions": "no_revisit_conditions"}, 0.4
+
+
+def failure_modes(evaluated: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, overall, reasons) of evaluated responses that failed: unsupported claims, a weak dimension, missing
+    information that was not asked for, or a low overall score without any of these.
+
+    evaluated(keys, overall, claims, missing_info, acknowledged, <dimensions>); null flags count as false.
+    """
+    missed = F.coalesce("missing_info", F.lit(False)) & ~F.coalesce("acknowledged", F.lit(False))
+    tests = [F.when(F.col("claims") > 0, "unsupported_claims"), *[F.when(F.col(d) < WEAK_BELOW, name) for d, name in WEAK.items()], F.when(missed, "missed_information")]
+    found = F.array_compact(F.array(*tests))
+    rows = evaluated.select(*keys, "overall", found.alias("reasons")).filter((F.size("reasons") > 0) | (F.col("overall") < 0.5))
+    return rows.withColumn("reasons", F.when(F.size("reasons") == 0, F.array(F.lit("low_score"))).otherwise(F.col("reasons")))
+
+
+def incomplete(prompts: DataFrame, outputs: DataFrame, scores: DataFrame, key: str) -> DataFrame:
+    """(key, missing) of the keys that are not in all three tables; empty for a complete run."""
+    names = ("prompt", "output", "score")
+    out = None
+    for name, df in zip(names, (prompts, outputs, scores), strict=True):
+        have = df.select(key).distinct().withColumn(name, F.lit(True))
+        out = have if out is None else out.join(have, key, "full")
+    missing = F.array_compact(F.array(*[F.when(F.col(n).isNull(), n) for n in names]))
+    return out.select(key, missing.alias("missing")).filter(F.size("missing") > 0)
+
+
+def review_export(samples: DataFrame, outputs: DataFrame, scores: DataFrame, key: str) -> DataFrame:
+    """Rows for human review: a sample with its output and its scores, inner joins on the key; a sample or score without
+    the others is left out. Empty review fields are added."""
+    joined = scores.join(samples, key).join(outputs, key)
+    return joined.withColumn("audited", F.lit(False)).withColumn("notes", F.lit("")).withColumn("score_override", F.lit(None).cast("double"))
+
+
+def comparison(base: DataFrame, candidate: DataFrame) -> DataFrame:
+    """(metric, base, candidate, delta) of two runs' summaries metrics(metric, value); a metric of one run only has a null
+    on the other side."""
+    out = base.select("metric", F.col("value").alias("base")).join(candidate.select("metric", F.col("value").alias("candidate")), "metric", "full")
+    return out.withColumn("delta", F.round(F.col("candidate") - F.col("base"), 4))
+
+
+def worst(evaluated: DataFrame, keys: Sequence[str], n: int = 20) -> DataFrame:
+    """The n responses of lowest overall score, ties by the keys."""
+    return evaluated.orderBy("overall", *keys).limit(n)

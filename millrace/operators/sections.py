@@ -88,11 +88,11 @@ def merge_sections(parts: DataFrame, limit: int = 2400) -> DataFrame:
 
     Sections are related if they share a concept, or have the same category and at least one of them a concept. A run
     grows while the next section follows directly, is related to the run so far and fits the limit; the run is
-    classified again at the end. The fold streams over the sorted sections with the state of one run, so no file is
+    classified again at the end. A section without a path belongs to no file and stays alone. The fold streams over the sorted sections with the state of one run, so no file is
     ever gathered; concepts and categories of the sections come from columns and only they reach Python.
     """
     text = F.col("text")
-    marked = parts.withColumn("related_concepts", concepts(text)).withColumn("file", F.sha2(F.concat_ws("\x00", "source_id", F.coalesce("relative_path", F.lit(""))), 256))
+    marked = parts.withColumn("related_concepts", concepts(text)).withColumn("file", F.sha2(F.concat_ws("\x00", "source_id", F.coalesce("relative_path", F.concat(F.lit("\x00"), "id"))), 256))
     marked = marked.withColumn("primary_category", classify(text, F.col("related_concepts"), F.col("category_hint"))["category"])
     marked = marked.withColumn("words", F.regexp_count(text, F.lit(PIECE)))
 

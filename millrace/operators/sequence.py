@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import token_ids
-from millrace.functions.text import words
+from millrace.functions.text import PIECE, words
 from millrace.runtime import rank_within, running_totals
 
 QUANTILES = {"p10": 0.10, "p25": 0.25, "median": 0.50, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99}
@@ -42,18 +42,19 @@ def context_fit(lengths: DataFrame, contexts: Sequence[int] = (512, 1024, 2048,
 def pack_stream(docs: DataFrame, length: int = 2048, eos: int = 0, pad: int | None = None) -> DataFrame:
     """Sequences of the stream of all documents in order of id: (sequence, input_ids, labels, attention_mask).
 
-    docs(id, text). Every document that has tokens is followed by an end mark; the stream is cut every `length` tokens
-    and the last sequence is padded, with labels of -100. A document's place is the running sum of the sizes before
-    it; each document is then cut at the borders of the sequences that it overlaps, so what is shuffled are a few
-    slices per document and never single tokens.
+    docs(id, text) needs unique ids. Every document that has tokens is followed by an end mark; the stream is cut every
+    `length` tokens and the last sequence is padded, with labels of -100. Sizes are put in order first, by id alone; a
+    document's place is the running sum of the sizes before it. Then its tokens are made and cut at the borders of the
+    sequences that it overlaps, so texts are moved once, to their place, and tokens once, to their sequence, in a few slices per
+    document and never one by one. Null and blank texts give nothing.
     """
     if length <= 0:
         raise ValueError("the sequence length must be positive")
+    sizes = docs.select("id", (F.regexp_count("text", F.lit(PIECE)) + 1).cast("long").alias("size")).filter("size > 1").withColumn("all", F.lit(0))
+    placed = running_totals(sizes, ["all"], [F.col("id")], {"end": F.col("size")}, "stream").select("id", (F.col("end") - F.col("size")).alias("begin"), "end")
     ids = F.concat(token_ids(words(F.col("text"))), F.array(F.lit(eos).cast("bigint")))
-    tokens = docs.select("id", ids.alias("ids")).filter(F.size("ids") > 1).withColumn("size", F.size("ids").cast("long")).withColumn("all", F.lit(0))
-    placed = running_totals(tokens, ["all"], [F.col("id")], {"end": F.col("size")}, "stream")
-    begin = F.col("end") - F.col("size")
-    cut = placed.select("ids", begin.alias("begin"), F.explode(F.sequence(F.floor(begin / length), F.floor((F.col("end") - 1) / length))).alias("sequence"))
+    tokens = docs.select("id", "text").join(placed, "id").select(ids.alias("ids"), "begin", "end")
+    cut = tokens.select("ids", "begin", F.explode(F.sequence(F.floor(F.col("begin") / length), F.floor((F.col("end") - 1) / length))).alias("sequence"))
     lo = F.greatest(F.col("begin"), F.col("sequence") * length)
     hi = F.least(F.col("begin") + F.size("ids"), (F.col("sequence") + 1) * length)
     part = cut.select("sequence", lo.alias("at"), F.slice("ids", (lo - F.col("begin") + 1).cast("int"), (hi - lo).cast("int")).alias("ids"))
@@ -87,12 +88,15 @@ def batch_problems(sequences: DataFrame, vocabulary: int) -> DataFrame:
     return sequences.select("sequence", problem.alias("problem")).filter("problem is not null")
 
 
-def stratified_head(rows: DataFrame, by: str, order: str, sizes: dict[str, int]) -> DataFrame:
-    """The first rows of every stratum in order, as many as `sizes` says."""
-    wanted = F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv])
-    w = Window.partitionBy(by).orderBy(order)
-    chosen = rows.filter(F.col(by).isin(*sizes))
-    return chosen.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= wanted[F.col(by)]).drop("_n")
+def stratified_head(rows: DataFrame, by: str, order: str, sizes: dict[str, int], salts: int = 64) -> DataFrame:
+    """The first rows of every stratum in order, as many as `sizes` says; equal ones in any order. A stratum is cut down
+    in `salts` parts first, so that one which holds a third of all rows is not sorted in one task."""
+    wanted = F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv])[F.col(by)]
+    chosen = rows.filter(F.col(by).isin(*sizes)).withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(salts)))
+    for keys in ([by, "_salt"], [by]):
+        w = Window.partitionBy(*keys).orderBy(order)
+        chosen = chosen.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= wanted).drop("_n")
+    return chosen.drop("_salt")
 
 
 __all__ = ["batch_problems", "context_fit", "length_percentiles", "pack_stream", "packing_statistics", "rank_within", "stratified_head"]

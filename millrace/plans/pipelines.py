@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import scoring, semantic
@@ -33,22 +33,25 @@ def build(raw: DataFrame, train: float = 0.98, seed: int = 42, order=None) -> Re
     """Clean, remove exact duplicates, gate and split. Rows whose text is blank after cleaning go to quarantine.
 
     Input is any number of deliveries with `ord`; only the kept row of a text is gated, since duplicates come first.
+    One table is stored: the cleaned rows with their problems, their gate reasons and the key of their text, so that
+    everything after it reads only the columns it needs, and texts only where they are asked for.
     """
     cleaned = raw.withColumn("text", tx.clean(F.col("text")))
-    checked = problems(cleaned)
-    bad = checked.filter(F.size("problems") > 0)
-    good = materialize(checked.filter(F.size("problems") == 0).drop("problems"), "cleaned")
-    marked = dedup.exact_duplicates(good, order or [F.col("ord")])
-    kept = marked.filter("kept")
     reasons = scoring.gate_reasons(F.col("text"), F.col("language"), F.col("source_id"))
-    gated = materialize(kept.withColumn("reasons", reasons).drop("kept", "canonical", "dedup_key"), "gated")
-    passed = split.two_way(gated.filter(F.size("reasons") == 0).drop("reasons"), train, seed)
-    rejected = gated.filter(F.size("reasons") > 0)
+    checked = problems(cleaned).withColumn("reasons", reasons)
+    checked = materialize(checked.withColumn("dedup_key", tx.dedup_key(F.col("text"))), "cleaned")
+    bad = checked.filter(F.size("problems") > 0)
+    good = checked.filter(F.size("problems") == 0).drop("problems")
+    marked = dedup.mark_duplicates(good, order or [F.col("ord")])
+    kept = marked.filter("kept").drop("kept", "canonical", "dedup_key")
+    passed = split.two_way(kept.filter(F.size("reasons") == 0).drop("reasons"), train, seed)
+    rejected = kept.filter(F.size("reasons") > 0)
+    duplicates = marked.filter(~F.col("kept"))
     ledger = _ledger(bad, "quarantined", F.array_join("problems", ";"))
-    ledger = ledger.unionByName(_ledger(marked.filter(~F.col("kept")), "exact_duplicate", F.col("canonical")))
+    ledger = ledger.unionByName(_ledger(duplicates, "exact_duplicate", F.col("canonical")))
     ledger = ledger.unionByName(_ledger(rejected, "rejected_quality", F.array_join("reasons", ";")))
     ledger = ledger.unionByName(_ledger(passed, "kept", F.col("split")))
-    return Result(passed, ledger, {"rejected": rejected, "duplicates": marked.filter(~F.col("kept"))})
+    return Result(passed, ledger, {"rejected": rejected, "duplicates": duplicates})
 
 
 @dataclass(frozen=True)
@@ -107,8 +110,11 @@ class FreezeSettings:
     max_code: float = 0.55
     max_source_share: float = 0.30
     tolerance: float = 0.02
+    category_tolerance: float = 0.05
     seed: int = 42
     near: NearDuplicates = NearDuplicates()
+    #: Refuse a selection that cannot reach or does not keep its limits, instead of only reporting that.
+    strict: bool = False
 
 
 def gate_sections(parts: DataFrame, settings: FreezeSettings) -> DataFrame:
@@ -131,7 +137,9 @@ def gate_sections(parts: DataFrame, settings: FreezeSettings) -> DataFrame:
 
 def freeze(docs: DataFrame, sources: DataFrame, settings: FreezeSettings) -> Result:
     """Third pass: sections, gates, merging of neighbours, ranked exact and near duplicates, budgeted selection and a
-    three-way split by provenance group. docs needs unique ids; sources(id, source_priority, source_token_cap)."""
+    three-way split by provenance group. docs needs unique ids; sources(id, source_priority, source_token_cap). What speaks
+    against the target before and after the selection is in the frames `preflight` and `violations`; with `strict` it is
+    an error."""
     headed = docs.withColumn("text", tx.structural_headings(tx.strip_boilerplate(tx.clean(F.col("text")))[0]))
     base = headed.select(F.col("id").alias("parent_id"), "source_id", "relative_path", F.coalesce("category_hint", "category").alias("category_hint"), split.group_key(headed).alias("group_id"))
     parts = sections.sectionize(headed.select("id", "title", "text"), settings.section_tokens).join(base, "parent_id")
@@ -147,15 +155,23 @@ def freeze(docs: DataFrame, sources: DataFrame, settings: FreezeSettings) -> Res
     unique = materialize(exact.filter("kept").drop("kept", "canonical", "dedup_key"), "unique_sections")
     near = materialize(settings.near.run(unique.select("id", "text", "score")), "near_duplicates")
     eligible = unique.join(near.filter("kept").select("id"), "id", "left_semi").withColumnRenamed("primary_category", "category")
-    spread = eligible.select("id", F.explode("related_concepts").alias("concept")).join(analytics.rarity(eligible), "concept")
-    rare = spread.groupBy("id").agg(F.min("sources").alias("rarity"))
-    pool = materialize(eligible.join(rare, "id", "left").withColumn("rarity", F.coalesce("rarity", F.lit(10_000))), "eligible")
+    pool = materialize(eligible.join(analytics.document_rarity(eligible), "id", "left").withColumn("rarity", F.coalesce("rarity", F.lit(10_000))), "eligible")
+    preflight = materialize(balance.preflight_violations(pool, sources, settings.targets, settings.target_tokens, settings.tolerance, settings.category_tolerance), "preflight")
+    _refuse(preflight, settings)
     chosen = materialize(balance.select_budget(pool, settings.targets, settings.target_tokens, sources, settings.max_source_share, settings.section_tokens, settings.tolerance), "chosen")
+    violations = balance.selection_violations(chosen.filter("decision = 'selected'"), settings.targets, settings.target_tokens, settings.tolerance, settings.max_source_share, settings.category_tolerance)
+    violations = materialize(violations, "violations")
+    _refuse(violations, settings)
     selected = chosen.filter("decision = 'selected'").withColumn("split", split.three_way(F.col("group_id"), seed=settings.seed))
     ledger = _ledger(gated.filter(F.size("reasons") > 0), "rejected", F.array_join("reasons", ";")).unionByName(_ledger(exact.filter(~F.col("kept")), "exact_duplicate", F.col("canonical")))
     ledger = ledger.unionByName(_ledger(near.filter(~F.col("kept")).join(unique.select("id", "source_id"), "id"), "near_duplicate", F.col("canonical")))
     ledger = ledger.unionByName(_ledger(chosen.filter("decision <> 'selected'"), "balanced_out", F.col("decision"))).unionByName(_ledger(selected, "kept", F.col("split")))
-    return Result(selected, ledger, {"gated": gated, "eligible": pool, "near": near, "parts": parts})
+    return Result(selected, ledger, {"gated": gated, "eligible": pool, "near": near, "parts": parts, "preflight": preflight, "violations": violations})
+
+
+def _refuse(violations: DataFrame, settings: FreezeSettings) -> None:
+    if settings.strict and (broken := violations.limit(20).collect()):  # at most twenty are named
+        raise ValueError("freeze refused: " + ", ".join(f"{r['rule']} {r['value']}" for r in broken))
 
 
 def capacity_funnel(result: Result, raw: DataFrame) -> DataFrame:
@@ -169,10 +185,10 @@ def capacity_funnel(result: Result, raw: DataFrame) -> DataFrame:
 
 
 def manifest(result: Result) -> DataFrame:
-    """One row: documents, tokens, tokens per split and the fingerprint of the kept documents' ids."""
+    """One row: documents, tokens, tokens per split, sources and categories and the fingerprint of the kept documents' ids."""
     kept = result.documents
     by = {s: F.coalesce(F.sum(F.when(F.col("split") == s, F.col("tokens"))), F.lit(0)).alias(f"{s}_tokens") for s in ("train", "validation", "heldout")}
-    totals = kept.agg(F.count("*").alias("documents"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), *by.values())
+    totals = kept.agg(F.count("*").alias("documents"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.count_distinct("source_id").alias("sources"), F.count_distinct("category").alias("categories"), *by.values())
     return totals.crossJoin(analytics.fingerprint(kept.select("id", F.col("id").alias("text"), F.lit("").alias("license_id"))))  # one row each
 
 
@@ -201,23 +217,29 @@ def readiness(docs: DataFrame, samples: DataFrame) -> DataFrame:
     """One row of blockers of a split corpus: overlap between splits, invalid records, documents inside test texts; and
     `benchmark_samples`, the test items of which a passage stands inside a document.
 
-    docs(id, text, source_id, category, language, source_url, license_id, split), samples(text, passages).
+    docs(id, text, source_id, category, language, source_url, license_id, split[, metadata]), samples(text, passages). A
+    record without a license is valid if its metadata name a verified one.
     """
     leak = dedup.leakage(docs)
     blank = lambda c: F.coalesce(F.trim(F.col(c)), F.lit("")) == ""
     named = F.lower(F.col("source_id")).contains("benchmark") | F.lower(F.coalesce("source_url", F.lit(""))).contains("benchmark")
-    invalid = docs.agg(F.count_if(blank("id") | blank("text") | blank("source_id") | blank("category") | blank("language") | blank("source_url") | blank("license_id") | F.coalesce(named, F.lit(False))).alias("invalid_records"))
+    verified = F.coalesce(F.trim(F.col("metadata")["verified_license_id"]), F.lit("")) != "" if "metadata" in docs.columns else F.lit(False)
+    unlicensed = blank("license_id") & ~verified
+    invalid = docs.agg(F.count_if(blank("id") | blank("text") | blank("source_id") | blank("category") | blank("language") | blank("source_url") | unlicensed | F.coalesce(named, F.lit(False))).alias("invalid_records"))
     row = leak.crossJoin(invalid).crossJoin(benchmark_overlap(docs, samples))  # one row each
     blockers = F.array_compact(F.array(F.when((F.col("id_overlap") > 0) | (F.col("text_overlap") > 0), "split_overlap"), F.when(F.col("invalid_records") > 0, "invalid_records"), F.when(F.col("benchmark_documents") > 0, "benchmark_contamination")))
     return row.withColumn("blockers", blockers)
 
 
-def diagnostics(sources: DataFrame) -> DataFrame:
-    """Status of every configured source: sources(id, category, enabled, license_id)."""
-    nc = F.coalesce("license_id", F.lit("")).contains("NC")
-    status = F.when(F.coalesce("enabled", F.lit(False)), "active").when(nc, "disabled_license_restriction").otherwise("disabled_user_config")
-    return sources.select(F.col("id").alias("source_id"), "category", status.alias("status"))
-
+def diagnostics(sources: DataFrame, checked: DataFrame | None = None) -> DataFrame:
+    """Status and classification of every configured source: sources(id, category, enabled, license_id).
 
-def window_rank(docs: DataFrame, by: str, order: str) -> DataFrame:
-    return docs.withColumn("place", F.row_number().over(Window.partitionBy(by).orderBy(order)))
+    checked(source_id, valid) holds the license checks of the repositories that are at hand; an enabled source that
+    failed its check counts as disabled, one that was not checked as active.
+    """
+    nc = F.coalesce("license_id", F.lit("")).contains("NC")
+    rows = sources.withColumn("_valid", F.lit(None).cast("boolean")) if checked is None else sources.join(checked.select(F.col("source_id").alias("id"), F.col("valid").alias("_valid")), "id", "left")
+    on, failed = F.coalesce("enabled", F.lit(False)), F.coalesce(~F.col("_valid"), F.lit(False))
+    status = F.when(on & failed, "disabled_unclear_license").when(on, "active").when(nc, "disabled_license_restriction").otherwise("disabled_user_config")
+    kind = F.when(on & failed, "license_verification_failed").when(on, "verified_active").when(nc, "license_non_commercial_restriction").otherwise("disabled_user_config")
+    return rows.select(F.col("id").alias("source_id"), "category", status.alias("status"), kind.alias("classification"), (on & ~failed).alias("active"))

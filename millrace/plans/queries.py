@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import hashing, scoring, semantic
@@ -50,7 +50,7 @@ def _samples(spark, sf) -> DataFrame:
 @query
 def build_stats(spark, sf):
     r = pipelines.build(_rows(spark, sf), train=0.98)
-    return analytics.corpus_stats(materialize(r.documents.select("source_id", "text"), "kept"), r.frames["rejected"], r.frames["duplicates"])
+    return analytics.corpus_stats(r.documents, r.frames["rejected"], r.frames["duplicates"])
 
 
 @query
@@ -158,8 +158,15 @@ def s14_title(spark, sf):
 
 @query
 def s20_source_inventory(spark, sf):
-    d = _rows(spark, sf).select("source_id", F.octet_length("text").alias("n"))
-    return d.groupBy("source_id").agg(F.count("*").alias("files"), F.sum("n").alias("bytes"), F.floor(F.sum("n") / 4).alias("estimated_tokens"))
+    """The rows stand for files of their length."""
+    return files.volume(_rows(spark, sf).select("source_id", F.octet_length("text").alias("length")))
+
+
+@query
+def s20_inventory_of_allowed(spark, sf):
+    p = F.col("relative_path")
+    rows = _rows(spark, sf).filter(paths.allowed(p))
+    return files.volume(rows.select("source_id", F.octet_length("text").alias("length")))
 
 
 # --- gates -----------------------------------------------------------------------------------------------------------
@@ -233,7 +240,11 @@ def f14_sample_problems(spark, sf):
 
 @query
 def f17_batch_problems(spark, sf):
-    return sequence.batch_problems(_stream(spark, sf), 99_990)
+    """Sequences of which some are made bad: too short labels, a token out of range, no label at all."""
+    n = F.col("sequence")
+    bad = _stream(spark, sf).withColumn("labels", F.when(n % 7 == 1, F.slice("labels", 1, 5)).when(n % 7 == 3, F.transform("labels", lambda t: F.lit(-100).cast("bigint"))).otherwise(F.col("labels")))
+    bad = bad.withColumn("input_ids", F.when(n % 7 == 2, F.transform("input_ids", lambda t: t - 100_001)).otherwise(F.col("input_ids")))
+    return sequence.batch_problems(bad, 100_000)
 
 
 # --- scalar functions ------------------------------------------------------------------------------------------------
@@ -276,7 +287,8 @@ def x11_hash_scores(spark, sf):
 
 @query
 def x13_normalize_concept(spark, sf):
-    c = _rows(spark, sf).select(F.explode(F.concat("related_concepts", "candidate_concepts", F.array("category", "title"))).alias("label")).filter("label is not null").distinct()
+    none = lambda c: F.coalesce(c, F.array().cast("array<string>"))
+    c = _rows(spark, sf).select(F.explode(F.concat(none("related_concepts"), none("candidate_concepts"), F.array("category", "title"))).alias("label")).filter("label is not null").distinct()
     return c.select("label", semantic.normalize_concept(F.col("label")).alias("concept"))
 
 
@@ -293,17 +305,28 @@ def x16_classify(spark, sf):
     return found.select("ord", c["category"].alias("primary_category"), c["confidence"].alias("confidence"))
 
 
+def _responses(spark, sf) -> DataFrame:
+    """Every page that has a category as the response to one of the samples of that category, which are dealt out by the
+    page's number."""
+    samples = _samples(spark, sf).select("item_id", "category", "difficulty", "scenario", "question", "facts")
+    place = F.row_number().over(Window.partitionBy("category").orderBy("item_id")) - 1
+    dealt = samples.withColumn("place", place).withColumn("of", F.count("*").over(Window.partitionBy("category")))
+    sizes = F.broadcast(dealt.select("category", "of").distinct())  # one row per category of the benchmark
+    pages = table(spark, sf, "documents").select("doc_id", "category", F.col("text").alias("response")).join(sizes, "category").withColumn("place", F.pmod("doc_id", "of"))
+    return pages.drop("of").join(F.broadcast(dealt.drop("of")), ["category", "place"]).drop("place")  # the benchmark's samples, some hundred rows
+
+
 def _evaluated(spark, sf) -> DataFrame:
-    """The benchmark samples with a page of the same category as the response."""
-    pages = table(spark, sf, "documents").filter("category is not null").groupBy("category").agg(F.min_by("text", "doc_id").alias("response"))
-    s = _samples(spark, sf).join(pages, "category")
-    r = evaluation.rubric(F.col("response"), F.col("facts"))
-    return s.select("item_id", "category", "difficulty", *[c.alias(k) for k, c in r.items()])
+    """Scores of the responses; a sample without facts lacks information."""
+    missing = F.col("facts").isNull()
+    r = evaluation.rubric(F.col("response"), F.col("facts"), missing)
+    acknowledged = r["clarification_awareness"] == 0.9
+    return _responses(spark, sf).select("doc_id", "item_id", "category", "difficulty", *[c.alias(k) for k, c in r.items()], missing.alias("missing_info"), acknowledged.alias("acknowledged"))
 
 
 @query
 def x18_rubric(spark, sf):
-    return _evaluated(spark, sf)
+    return _evaluated(spark, sf).drop("missing_info", "acknowledged")
 
 
 @query
@@ -312,13 +335,17 @@ def x19_repetition(spark, sf):
 
 
 def _echo_pairs(spark, sf) -> DataFrame:
-    s = _samples(spark, sf).select("item_id", F.concat_ws(" ", "scenario", "question").alias("prompt"), F.concat_ws(" ", F.substring("scenario", 1, 150), F.array_join("facts", " ")).alias("response"), F.lit(0.5).alias("score"))
-    return s
+    """The responses with their prompts; every third one repeats its prompt at the end."""
+    prompt = F.concat_ws(" ", "scenario", "question")
+    echo = F.when(F.col("doc_id") % 3 == 0, prompt)
+    score = evaluation.rubric(F.col("response"), F.col("facts"))["overall"]
+    scored = _responses(spark, sf).withColumn("score", score)
+    return scored.select("doc_id", prompt.alias("prompt"), F.concat_ws(" ", "response", echo).alias("response"), "score")
 
 
 @query
 def x20_prompt_echo(spark, sf):
-    return _echo_pairs(spark, sf).select("item_id", evaluation.echoes(F.col("response"), F.col("prompt")).alias("echo"))
+    return _echo_pairs(spark, sf).select("doc_id", evaluation.echoes(F.col("response"), F.col("prompt")).alias("echo"))
 
 
 @query
@@ -384,24 +411,25 @@ def d11_leakage(spark, sf):
 
 #: The sources that are compared.
 EDITIONS = ["beacon_design_wiki", "mesh_proposals"]
+CRAWLS = ["early", "late"]
 
 
 @query
 def d12_cross_source(spark, sf):
-    """Section titles that both sources have, as in the SQL; `d12_cross_texts` compares the texts."""
+    """Section titles that both sources have, as in the SQL; `d12_cross_editions` compares the texts."""
     d = _docs(spark, sf).select("source_id", "tokens", F.md5("section_title").alias("content_sha256"))
     return dedup.shared_hashes(d, EDITIONS)
 
 
 @query
-def d12_cross_texts(spark, sf):
-    """Whole texts that both sources have, and clusters of near duplicates of all documents, exact copies taken out
-    first, that span exactly the two."""
-    d = _docs(spark, sf).select("id", "source_id", "text", "tokens", F.col("tokens").cast("double").alias("score"))
-    same = dedup.shared_hashes(d.withColumn("content_sha256", tx.content_hash(F.col("text"))), EDITIONS)
-    unique = materialize(dedup.exact_duplicates(d, [F.col("id")]).filter("kept").select("id", "source_id", "text", "tokens", "score"), "unique_texts")
-    near = dedup.shared_clusters(unique, NearDuplicates().run(unique.select("id", "text", "score")), EDITIONS)
-    return same.select(F.lit("text").alias("kind"), F.col("content_sha256").alias("key"), "documents", "tokens_saved").unionByName(near.select(F.lit("cluster").alias("kind"), F.col("cluster").alias("key"), "documents", "tokens_saved"))
+def d12_cross_editions(spark, sf):
+    """Whole texts that two crawls, before and from June on, both hold, and clusters of near duplicates that span the two."""
+    edition = F.when(F.col("crawled_at") < F.lit("2025-06-01").cast("timestamp"), "early").otherwise("late")
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), edition.alias("source_id"), "text", scoring.python_tokens(F.col("text")).alias("tokens"), F.lit(0.0).alias("score"))
+    same = dedup.shared_hashes(d.withColumn("content_sha256", tx.content_hash(F.col("text"))), CRAWLS)
+    near = dedup.shared_clusters(d, NearDuplicates().run(materialize(d.select("id", "text", "score"), "editions")), CRAWLS)
+    kind = lambda f, name, key: f.select(F.lit(name).alias("kind"), F.col(key).alias("key"), "documents", "tokens_saved")
+    return kind(same, "text", "content_sha256").unionByName(kind(near, "cluster", "cluster"))
 
 
 # --- aggregates ------------------------------------------------------------------------------------------------------
@@ -521,6 +549,44 @@ def a23_benchmark_scores(spark, sf):
     return by("category").unionByName(by("difficulty")).unionByName(dims).unionByName(total)
 
 
+@query
+def a23_failure_modes(spark, sf):
+    return evaluation.failure_modes(_evaluated(spark, sf), ["doc_id", "item_id"]).withColumn("reasons", F.array_join("reasons", ";"))
+
+
+@query
+def w8_worst_responses(spark, sf):
+    return evaluation.worst(_evaluated(spark, sf).select("doc_id", "item_id", "overall"), ["doc_id", "item_id"])
+
+
+@query
+def j4_review_export(spark, sf):
+    e = _evaluated(spark, sf).select("doc_id", "item_id", "overall", "claims")
+    outputs = table(spark, sf, "documents").select("doc_id", F.md5("text").alias("response_md5"))
+    scored = e.join(_samples(spark, sf).select("item_id", "question", "difficulty"), "item_id")
+    return evaluation.review_export(scored.select("doc_id", "item_id", "question", "difficulty"), outputs, e.select("doc_id", "overall", "claims"), "doc_id")
+
+
+@query
+def j6_incomplete_runs(spark, sf):
+    """Every sample needs a response and a score; scores of easy samples are held back."""
+    e = _evaluated(spark, sf)
+    return evaluation.incomplete(_samples(spark, sf), e, e.filter("difficulty <> 'easy'"), "item_id").withColumn("missing", F.array_join("missing", ";"))
+
+
+def _metrics(e: DataFrame) -> DataFrame:
+    names = [*evaluation.DIMENSIONS, "overall"]
+    row = e.agg(*[analytics.exact_mean(F.col(n)).alias(n) for n in names])
+    return row.select(F.explode(F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))])).alias("metric", "value"))
+
+
+@query
+def o11_comparison(spark, sf):
+    """Responses to hard samples against those to easy ones."""
+    e = _evaluated(spark, sf)
+    return evaluation.comparison(_metrics(e.filter("difficulty = 'easy'")), _metrics(e.filter("difficulty = 'hard'")))
+
+
 @query
 def a24_behaviour(spark, sf):
     return evaluation.behaviour(_echo_pairs(spark, sf))
@@ -538,13 +604,42 @@ def a26_fingerprint(spark, sf):
     return analytics.fingerprint(_docs(spark, sf), "curated")
 
 
+@query
+def a27_corpus_hash(spark, sf):
+    return analytics.corpus_hash(_docs(spark, sf))
+
+
+@query
+def a29_manifest(spark, sf):
+    d = _docs(spark, sf)
+    return pipelines.manifest(pipelines.Result(d.withColumn("split", split.three_way(split.group_key(d))), d))
+
+
+@query
+def f15_preflight(spark, sf):
+    targets = {c: 0.1 for c in [*V.CATEGORIES[:9], "robotics"]}
+    return balance.preflight_violations(_docs(spark, sf), _sources(spark, sf), targets, 600_000)
+
+
+@query
+def f16_violations(spark, sf):
+    d = _docs(spark, sf).withColumn("content_sha256", tx.dedup_key(F.col("text")))
+    return balance.selection_violations(d, {c: 0.1 for c in V.CATEGORIES}, 200_000, max_source_share=0.05)
+
+
+@query
+def x17_annotation(spark, sf):
+    a = semantic.annotate(_rows(spark, sf).select("ord", "text", "category_hint"))
+    return a.select("ord", F.array_join("related_concepts", ",").alias("related_concepts"), F.array_join("candidate_concepts", ",").alias("candidate_concepts"), "primary_category", "category_confidence")
+
+
 @query
 def a28_packing_statistics(spark, sf):
     return sequence.packing_statistics(_stream(spark, sf))
 
 
 def _readiness(spark, sf) -> DataFrame:
-    d = _rows(spark, sf).select("id", "text", "source_id", "category", "language", "source_url", "license_id", split.three_way(F.col("ord").cast("string")).alias("split"))
+    d = _rows(spark, sf).select("id", "text", "source_id", "category", "language", "source_url", "license_id", "metadata", split.three_way(F.col("ord").cast("string")).alias("split"))
     whole = F.concat_ws(" ", "scenario", "question", F.array_join("facts", " "), F.array_join("expected_considerations", " "))
     s = _samples(spark, sf).select(whole.alias("text"), F.array("scenario", "question").alias("passages"))
     return pipelines.readiness(d, s).withColumn("blockers", F.array_join("blockers", ";"))
@@ -584,7 +679,9 @@ def w5_merge_sections(spark, sf):
 
 @query
 def w6_select_budget(spark, sf):
-    d = _docs(spark, sf).withColumn("category", F.col("category")).withColumn("rarity", F.size("related_concepts")).withColumn("score", F.coalesce("quality_score", F.lit(0.0)))
+    docs = _docs(spark, sf)
+    rare = analytics.document_rarity(docs)
+    d = docs.join(rare, "id", "left").withColumn("rarity", F.coalesce("rarity", F.lit(10_000))).withColumn("score", F.coalesce("quality_score", F.lit(0.0)))
     return balance.select_budget(d.select("id", "source_id", "category", "tokens", "rarity", "score"), {c: 0.1 for c in V.CATEGORIES}, 200_000, _sources(spark, sf)).select("id", "decision")
 
 
@@ -616,7 +713,7 @@ def split_three_way(spark, sf):
 
 @query
 def split_clusters(spark, sf):
-    near = NearDuplicates().run(materialize(_docs(spark, sf).select("id", "text", F.lit(0.0).alias("score")), "documents"))
+    near = NearDuplicates().run(materialize(_docs(spark, sf).select("id", "text", F.col("quality_score").alias("score")), "documents"))
     return near.select("id", "cluster", F.when(hashing.score64(F.col("cluster")) < 0.95, "train").otherwise("validation").alias("split"))
 
 

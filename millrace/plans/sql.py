@@ -139,7 +139,7 @@ def classify(found: str, low: str, hint: str) -> tuple[str, str]:
     return f"list_sort([{', '.join(each)}])", "list_sum(list_transform(s, lambda x: -x.m))"
 
 
-def rubric_sql(low: str) -> dict[str, str]:
+def rubric_sql(low: str, missing: str = "false") -> dict[str, str]:
     hits = lambda terms: "(" + " + ".join(f"contains({low}, {q(t)})::INT" for t in terms) + ")"
     out = {
         "driver_identification": f"round(coalesce(len(list_filter(facts, lambda f: len(list_filter({words('lower(f)')}, lambda w: length(w) > 4 AND contains({low}, w))) > 0)), 0)::DOUBLE / greatest(1, coalesce(len(facts), 0)), 2)"
@@ -148,7 +148,7 @@ def rubric_sql(low: str) -> dict[str, str]:
         if name in V.RUBRIC_FULL:
             out[name] = f"round(least(1.0::DOUBLE, {hits(terms)}::DOUBLE / {V.RUBRIC_FULL[name]}), 2)"
         elif name == "clarification_awareness":
-            out[name] = f"CASE WHEN {hits(terms)} > 0 THEN 0.9::DOUBLE ELSE 0.7::DOUBLE END"
+            out[name] = f"CASE WHEN {hits(terms)} > 0 THEN 0.9::DOUBLE WHEN {missing} THEN 0.4::DOUBLE ELSE 0.7::DOUBLE END"
         else:
             out[name] = f"CASE WHEN {hits(terms)} > 0 THEN 0.8::DOUBLE ELSE 0.2::DOUBLE END"
     claims = "(" + " + ".join(f"regexp_matches({low}, {q(p)})::INT" for p in V.ABSOLUTE_CLAIMS) + ")"
@@ -157,13 +157,35 @@ def rubric_sql(low: str) -> dict[str, str]:
     return {**{d: out[d] for d in DIMENSIONS}, "claims": claims, "revisits": hits(V.RUBRIC["revisit_conditions"])}
 
 
-_R = rubric_sql("low")
-EVALUATED = f"""pages AS (SELECT category, arg_min(text, doc_id) AS response FROM documents WHERE category IS NOT NULL GROUP BY category),
-    s AS (SELECT b.*, response, lower(response) AS low FROM benchmark_sample b JOIN pages p ON b.category = p.category),
-    e0 AS (SELECT item_id, category, difficulty, {', '.join(f'{v} AS {k}' for k, v in _R.items())} FROM s),
+_R, _R_PLAIN = rubric_sql("low", "facts IS NULL"), rubric_sql("low")
+DEALT = """dealt AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY item_id) - 1 AS place, count(*) OVER (PARTITION BY category) AS n_of FROM benchmark_sample),
+    s AS (SELECT doc_id, b.item_id, b.category, b.difficulty, b.scenario, b.question, b.facts, d.text AS response, lower(d.text) AS low FROM documents d JOIN dealt b ON d.category = b.category AND d.doc_id % n_of = place)"""
+EVALUATED = f"""{DEALT},
+    e0 AS (SELECT doc_id, item_id, category, difficulty, facts IS NULL AS missing_info, {', '.join(f'{v} AS {k}' for k, v in _R.items())} FROM s),
     e AS (SELECT *, round(({' + '.join(DIMENSIONS)}) / {len(DIMENSIONS)}, 4) AS overall FROM e0)"""
 
 
+def exact_mean(c: str, where: str = "true") -> str:
+    return f"((2 * sum(round({c} * 10000)::BIGINT) FILTER ({where}) + count(*) FILTER ({where})) // (2 * count(*) FILTER ({where})))::DOUBLE / 10000"
+
+
+PLAIN_WORDS = "regexp_extract_all(lower({}), '[a-z0-9]+')"
+ECHO = f"""{DEALT}, pr AS (SELECT doc_id, scenario || ' ' || question AS prompt, response || CASE WHEN doc_id % 3 = 0 THEN ' ' || scenario || ' ' || question ELSE '' END AS response,
+    round(({' + '.join(_R_PLAIN[d] for d in DIMENSIONS)}) / {len(DIMENSIONS)}, 4) AS score FROM s)"""
+
+
+def judged(rows: str, name: str) -> str:
+    """Repetition and echo of rows(doc_id, prompt, response, score) as a chain of named tables."""
+    return f"""{name}_w AS (SELECT doc_id, score, {PLAIN_WORDS.format('response')} AS w, {PLAIN_WORDS.format('prompt')} AS q FROM {rows}),
+    {name}_p AS (SELECT doc_id, unnest(w) AS t, unnest(range(len(w))) AS i FROM {name}_w), {name}_q AS (SELECT doc_id, unnest(q) AS t, unnest(range(len(q))) AS j FROM {name}_w),
+    {name}_d AS (SELECT p.doc_id, i - j AS d, i - row_number() OVER (PARTITION BY p.doc_id, i - j ORDER BY i) AS isle FROM {name}_p p JOIN {name}_q q ON p.doc_id = q.doc_id AND p.t = q.t),
+    {name}_m AS (SELECT doc_id, max(n) AS m FROM (SELECT doc_id, d, isle, count(*) AS n FROM {name}_d GROUP BY ALL) GROUP BY doc_id),
+    {name}_r AS (SELECT doc_id, w, q, score, list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' ')) AS runs FROM {name}_w),
+    {name} AS (SELECT r.doc_id, score, len(w) AS n, len(w) >= 16 AND len(runs) > len(list_distinct(runs)) AS repeats, coalesce(len(w) >= 16 AND len(q) >= 12 AND m >= 12 AND m::DOUBLE / len(w) >= 0.35::DOUBLE, false) AS echo
+        FROM {name}_r r LEFT JOIN {name}_m m ON r.doc_id = m.doc_id),
+    {name}_s AS (SELECT count(*) AS total, round(avg(repeats::INT), 6) AS repetition_rate, round(avg(echo::INT), 6) AS echo_rate, round(avg((repeats OR echo OR n < 12)::INT), 6) AS failure_rate, round(avg(score), 6) AS mean_score FROM {name})"""
+
+
 def ngrams(c: str, n: int = 4) -> str:
     w = words(f"lower({c})")
     return f"CASE WHEN len({w}) = 0 THEN [] WHEN len({w}) < {n} THEN [array_to_string({w}, ' ')] ELSE list_distinct(list_transform(range(1, len({w}) - {n - 2}), lambda i: array_to_string(({w})[i:i + {n - 1}], ' '))) END"
@@ -207,6 +229,7 @@ _b1 = f"regexp_replace(text, {q(BOILER[0])}, '', 'g')"
 _b2 = f"regexp_replace({_b1}, {q(BOILER[1])}, '', 'g')"
 _b3 = strip(f"regexp_replace({_b2}, {q(BOILER[2])}, '', 'g')")
 _nb = f"{count('text', BOILER[0])} + {count(_b1, BOILER[1])} + {count(_b2, BOILER[2])}"
+BASE_CLEAN = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(nfc_normalize({}), '\r\n?', chr(10), 'g'), '[\x00-\x08\x0b-\x1f\x7f]', '', 'g'), '(?m)[ \t]+$', '', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')"
 _dirty = "chr(65279) || ' ' || chr(13) || chr(10) || text || ' ' || chr(9) || chr(13) || chr(10) || chr(13) || chr(10) || chr(13) || chr(10) || chr(13) || chr(10) || 'e' || chr(769) || chr(7) || 'end ' || chr(13)"
 _clean = strip(
     rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace(nfc_normalize({_dirty}), '\r\n?', chr(10), 'g'), '[\x00-\x08\x0b-\x1f\x7f]', '', 'g'), '(?m)[ \t]+$', '', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')"
@@ -217,6 +240,44 @@ _dropped = strip(f"array_to_string(list_filter({_parts}, lambda p: NOT (contains
 _hint = "lower(coalesce(section_title, title, ''))"
 _tc = "list_transform"
 
+BUILT = f"""c AS (SELECT ord, source_id, category, language, {strip(BASE_CLEAN.format("coalesce(text, '')"))} AS text FROM corpus_document),
+    p AS (SELECT *, text = '' OR coalesce(trim(source_id), '') = '' OR trim(source_id) <> source_id OR coalesce(trim(category), '') = '' OR trim(category) <> category AS bad FROM c),
+    g AS (SELECT *, row_number() OVER (PARTITION BY {squeeze('text')} ORDER BY ord) = 1 AS kept, len({gate(80, 15, 0.4)}) = 0 AS ok FROM p WHERE NOT bad)"""
+KEY42 = "('42:' || cluster)"
+STREAM = f"""n AS (SELECT id, {words('text')} AS w FROM docs), m AS (SELECT id, w, len(w) + 1 AS size FROM n WHERE len(w) > 0),
+    total AS (SELECT coalesce(sum(size), 0)::BIGINT AS t, coalesce(ceil(sum(size) / 2048.0), 0)::BIGINT AS sequences FROM m)"""
+PAR = "chr(10) || chr(10)"
+NORMAL = lambda c: strip(f"regexp_replace(lower({c}), '[{W}]+', ' ', 'g')")
+_SLUGS = {re.sub("[^a-z0-9]+", "-", f).strip("-"): c for c in sorted(V.CONCEPT_PHRASES) for f in [c, *V.CONCEPT_PHRASES[c]]}
+_SAMPLE = "concat_ws(' ', scenario, question, array_to_string(facts, ' '), array_to_string(expected_considerations, ' '))"
+READY = f"""s AS (SELECT *, {NORMAL('text')} AS t, {three_way('ord::VARCHAR')} AS split FROM corpus_document),
+    b AS (SELECT {NORMAL(_SAMPLE)} AS t, {NORMAL('scenario')} AS p1, {NORMAL('question')} AS p2 FROM benchmark_sample),
+    r AS (SELECT (SELECT count(*) FROM (SELECT id FROM s GROUP BY id HAVING count(DISTINCT split) > 1)) AS id_overlap, (SELECT count(*) FROM (SELECT t FROM s GROUP BY t HAVING count(DISTINCT split) > 1)) AS text_overlap,
+    (SELECT count(*) FROM s WHERE {' OR '.join(f"coalesce(trim({c}), '') = ''" for c in ('id', 'text', 'source_id', 'category', 'language', 'source_url'))} OR coalesce(trim(license_id), '') = '' AND coalesce(trim(metadata['verified_license_id']), '') = ''
+        OR contains(lower(source_id), 'benchmark') OR contains(lower(coalesce(source_url, '')), 'benchmark')) AS invalid_records,
+    (SELECT count(*) FROM (SELECT DISTINCT t FROM s WHERE t <> '') x WHERE EXISTS (SELECT 1 FROM b WHERE contains(b.t, x.t))) AS benchmark_documents,
+    (SELECT count(DISTINCT b.t) FROM b WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT t FROM s) x WHERE p1 <> '' AND contains(x.t, p1) OR p2 <> '' AND contains(x.t, p2))) AS benchmark_samples),
+    v AS (SELECT *, concat_ws(';', CASE WHEN id_overlap > 0 OR text_overlap > 0 THEN 'split_overlap' END, CASE WHEN invalid_records > 0 THEN 'invalid_records' END, CASE WHEN benchmark_documents > 0 THEN 'benchmark_contamination' END) AS blockers FROM r)"""
+def near_sql(docs: str) -> str:
+    return f"""WITH RECURSIVE {docs}, w AS (SELECT id, source_id, coalesce(quality_score, 0) AS score, length(text) AS len_, regexp_extract_all(lower(coalesce(text, '')), '[{WORD}]+') AS w FROM docs),
+    h AS (SELECT id, score, len_, list_sort(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS h FROM w),
+    k AS (SELECT id, score, len_, h, min(id) OVER (PARTITION BY h) AS head FROM h),
+    u AS (SELECT id, len(h) AS n, unnest(h) AS s FROM k WHERE id = head),
+    j AS (SELECT a.id AS id1, b.id AS id2, a.n AS n1, b.n AS n2, count(*) AS c FROM u a JOIN u b ON a.s = b.s AND a.id < b.id AND least(a.n, b.n) >= greatest(a.n, b.n) * 0.8::DOUBLE - 1e-6 GROUP BY ALL),
+    e AS (SELECT id1, id2, c::DOUBLE / (n1 + n2 - c) AS sim FROM j WHERE c::DOUBLE / (n1 + n2 - c) >= 0.8::DOUBLE),
+    two AS (SELECT id1 AS x, id2 AS y FROM e UNION SELECT id2, id1 FROM e), reach AS (SELECT id AS root, id AS node FROM k WHERE id = head UNION SELECT root, y FROM reach JOIN two ON node = x),
+    part AS (SELECT node, min(root) AS cluster FROM reach GROUP BY node),
+    m AS (SELECT id, head, score, len_, cluster FROM k JOIN part ON head = node),
+    best AS (SELECT cluster, first(id ORDER BY -score, -len_, id) AS best_id, first(head ORDER BY -score, -len_, id) AS best_head FROM m GROUP BY cluster),
+    own AS (SELECT m.id, m.cluster, best_id, CASE WHEN head = best_head THEN 1.0 ELSE coalesce(sim, 0.8) END::DOUBLE AS own FROM m JOIN best USING (cluster)
+        LEFT JOIN e ON id1 = least(head, best_head) AND id2 = greatest(head, best_head)),
+    mean AS (SELECT cluster, round(avg(own), 4) AS similarity FROM own WHERE id <> best_id GROUP BY cluster),
+    near AS (SELECT id, own.cluster, best_id AS canonical, id = best_id AS kept, similarity FROM own LEFT JOIN mean ON own.cluster = mean.cluster)"""
+
+
+NEAR = near_sql(CURRENT)
+BY_CRAWL = "docs AS (SELECT doc_id::VARCHAR AS id, CASE WHEN crawled_at < TIMESTAMP '2025-06-01' THEN 'early' ELSE 'late' END AS source_id, text, 0.0::DOUBLE AS quality_score FROM documents)"
+
 SQL: dict[str, str] = {
     "c1_clean": f"SELECT ord, md5({_clean}) AS clean_md5 FROM corpus_document",
     "c3_boilerplate": f"""WITH b AS (SELECT ord, text, {_b3} AS t, {_nb} AS n FROM corpus_document)
@@ -285,7 +346,6 @@ SQL: dict[str, str] = {
     "x16_classify": f"""WITH c AS (SELECT ord, lower(text) AS low, {concepts('lower(text)')} AS found, category_hint FROM corpus_document),
         s AS (SELECT ord, {classify('found', 'low', 'category_hint')[0]} AS s FROM c), t AS (SELECT ord, s, {classify('found', 'low', 'category_hint')[1]} AS total FROM s)
         SELECT ord, CASE WHEN total = 0 THEN 'software_architecture' ELSE s[1].name END AS primary_category, CASE WHEN total = 0 THEN 0.0 ELSE round(-s[1].m / total, 3) END::DOUBLE AS confidence FROM t""",
-    "x18_rubric": f"WITH {EVALUATED} SELECT item_id, category, difficulty, {', '.join(DIMENSIONS)}, overall, claims, revisits FROM e",
     "x19_repetition": """WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents),
         s AS (SELECT doc_id, len(w) AS n, list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' ')) AS s FROM w)
         SELECT doc_id, n >= 16 AND len(s) > len(list_distinct(s)) AS repeats FROM s""",
@@ -351,17 +411,7 @@ SQL: dict[str, str] = {
         CASE WHEN NOT coalesce(enabled, false) THEN 'disabled' WHEN coalesce(discovered, 0) = 0 THEN 'no_documents' END AS reason_if_zero FROM source_config s LEFT JOIN g ON s.id = g.source_id""",
     "a20_license_audit": f"""WITH {CURRENT} SELECT coalesce(nullif(metadata['verified_license_id'], ''), nullif(license_id, ''), 'unverified') AS license, count(*) AS documents,
         count(*) FILTER (coalesce(metadata['verified_license_id'], '') = '' OR license_id IS NULL) AS unverified FROM docs GROUP BY 1""",
-    "a21_diagnostics": "SELECT id AS source_id, category, CASE WHEN coalesce(enabled, false) THEN 'active' WHEN contains(coalesce(license_id, ''), 'NC') THEN 'disabled_license_restriction' ELSE 'disabled_user_config' END AS status FROM source_config",
     "a22_sample_distribution": "SELECT 'category' AS dimension, category AS value, count(*) AS samples FROM benchmark_sample GROUP BY 2 UNION ALL SELECT 'difficulty', difficulty, count(*) FROM benchmark_sample GROUP BY 2",
-    "a23_benchmark_scores": f"""WITH {EVALUATED} SELECT 'category' AS by, category AS value, ((2 * sum(round(overall * 10000)::BIGINT) + count(*)) // (2 * count(*)))::DOUBLE / 10000 AS mean FROM e GROUP BY 2 UNION ALL SELECT 'difficulty', difficulty, ((2 * sum(round(overall * 10000)::BIGINT) + count(*)) // (2 * count(*)))::DOUBLE / 10000 FROM e GROUP BY 2
-        {' '.join(f"UNION ALL SELECT 'dimension', '{x}', ((2 * sum(round({x} * 10000)::BIGINT) + count(*)) // (2 * count(*)))::DOUBLE / 10000 FROM e" for x in DIMENSIONS)}
-        UNION ALL SELECT 'all', 'overall', ((2 * sum(round(overall * 10000)::BIGINT) + count(*)) // (2 * count(*)))::DOUBLE / 10000 FROM e UNION ALL SELECT 'all', 'claim_rate', round(avg((claims > 0)::INT), 4) FROM e UNION ALL SELECT 'all', 'revisit_rate', round(avg((revisits > 0)::INT), 4) FROM e""",
-    "a30_readiness": f"""WITH s AS (SELECT *, {strip(f"regexp_replace(lower(text), '[{W}]+', ' ', 'g')")} AS t, {three_way('ord::VARCHAR')} AS split FROM corpus_document),
-        b AS (SELECT {strip(f"regexp_replace(lower(scenario || ' ' || question), '[{W}]+', ' ', 'g')")} AS t FROM benchmark_sample),
-        r AS (SELECT (SELECT count(*) FROM (SELECT id FROM s GROUP BY id HAVING count(DISTINCT split) > 1)) AS id_overlap, (SELECT count(*) FROM (SELECT t FROM s GROUP BY t HAVING count(DISTINCT split) > 1)) AS text_overlap,
-        (SELECT count(*) FROM s WHERE {' OR '.join(f"coalesce(trim({c}), '') = ''" for c in ('id', 'text', 'source_id', 'category', 'language', 'source_url', 'license_id'))} OR contains(lower(source_id), 'benchmark') OR contains(lower(coalesce(source_url, '')), 'benchmark')) AS invalid_records,
-        (SELECT count(DISTINCT t) FROM s WHERE t <> '' AND t IN (SELECT t FROM b)) AS benchmark_documents)
-        SELECT *, concat_ws(';', CASE WHEN id_overlap > 0 OR text_overlap > 0 THEN 'split_overlap' END, CASE WHEN invalid_records > 0 THEN 'invalid_records' END, CASE WHEN benchmark_documents > 0 THEN 'benchmark_contamination' END) AS blockers FROM r""",
     "w3_review_sample": f"WITH {CURRENT}, r AS (SELECT category, id, row_number() OVER (PARTITION BY category ORDER BY sha256(id), id) AS place FROM docs WHERE category IN ({', '.join(map(q, V.CATEGORIES))})) SELECT * FROM r WHERE place <= 5",
     "w4_audit_sample": "WITH r AS (SELECT item_id, difficulty, row_number() OVER (PARTITION BY difficulty ORDER BY item_id) AS n FROM benchmark_sample) SELECT item_id, difficulty FROM r WHERE n <= CASE difficulty WHEN 'easy' THEN 5 WHEN 'medium' THEN 10 WHEN 'hard' THEN 10 ELSE 0 END",
     "split_two_way": f"""WITH {CURRENT}, s AS (SELECT id, {hexnum('''('42:' || id)''', 1, 8)}::DOUBLE / 4294967295::DOUBLE AS s FROM docs) SELECT id, CASE WHEN s < 1.0::DOUBLE - 0.9::DOUBLE THEN 'validation' ELSE 'train' END AS split FROM s""",
@@ -369,4 +419,91 @@ SQL: dict[str, str] = {
     "u2_set_operations": """WITH a AS (SELECT DISTINCT source_id FROM corpus_document WHERE ord % 2 = 0), b AS (SELECT DISTINCT source_id FROM corpus_document WHERE ord % 3 = 0)
         SELECT 'intersect' AS operation, source_id FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT 'except', source_id FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'union', source_id FROM (SELECT * FROM a UNION SELECT * FROM b)""",
     "j1_policy_join": f"{TOK_DOCS} SELECT d.id, d.source_id, coalesce(quality_score, 0)::DOUBLE AS quality, tokens, s.source_priority AS priority, s.release_eligible FROM d LEFT JOIN source_config s ON d.source_id = s.id",
+    "build_stats": f"""WITH {BUILT}, a AS (SELECT source_id, count(*) AS documents, sum(length(text))::BIGINT AS characters, sum(len({words('text')}))::BIGINT AS words FROM g WHERE kept AND ok GROUP BY 1),
+        r AS (SELECT source_id, count(*) AS n FROM g WHERE kept AND NOT ok GROUP BY 1), d AS (SELECT source_id, count(*) AS n FROM g WHERE NOT kept GROUP BY 1), i AS (SELECT DISTINCT source_id FROM g)
+        SELECT i.source_id, coalesce(documents, 0) AS documents, coalesce(characters, 0) AS characters, coalesce(words, 0) AS words, coalesce(r.n, 0) AS rejected, coalesce(d.n, 0) AS duplicates,
+        coalesce(round(characters::DOUBLE / documents, 2), 0) AS avg_characters, coalesce(round(words::DOUBLE / documents, 2), 0) AS avg_words
+        FROM i LEFT JOIN a ON i.source_id = a.source_id LEFT JOIN r ON i.source_id = r.source_id LEFT JOIN d ON i.source_id = d.source_id""",
+    "build_ledger": f"""WITH {BUILT} SELECT 'quarantined' AS decision, count(*) AS entries FROM p WHERE bad HAVING count(*) > 0 UNION ALL SELECT 'exact_duplicate', count(*) FROM g WHERE NOT kept HAVING count(*) > 0
+        UNION ALL SELECT 'rejected_quality', count(*) FROM g WHERE kept AND NOT ok HAVING count(*) > 0 UNION ALL SELECT 'kept', count(*) FROM g WHERE kept AND ok HAVING count(*) > 0""",
+    "s20_inventory_of_allowed": f"SELECT source_id, count(*) AS files, sum(strlen(text))::BIGINT AS bytes, (sum(strlen(text)) // 4)::BIGINT AS estimated_tokens FROM corpus_document WHERE NOT {BENCH} AND {SUFFIX} IN ('md', 'markdown', 'txt', 'adoc', 'rst') GROUP BY source_id",
+    "c8_chunks": f"""WITH RECURSIVE {CURRENT}, d AS (SELECT id, text, {tokens('text')} AS t FROM docs),
+        ps AS (SELECT id, list_filter(list_transform(string_split(text, {PAR}), lambda x: {strip('x')}), lambda x: x <> '') AS l FROM d WHERE t > 100),
+        p AS (SELECT id, unnest(l) AS p, unnest(range(1, len(l) + 1)) AS i FROM ps), c AS (SELECT *, {tokens('p')} AS cost FROM p),
+        fold AS (SELECT id, i, 1 AS chunk, cost AS load FROM c WHERE i = 1 UNION ALL SELECT c.id, c.i, CASE WHEN load + cost > 100 THEN chunk + 1 ELSE chunk END, CASE WHEN load + cost > 100 THEN cost ELSE load + cost END
+            FROM fold JOIN c ON c.id = fold.id AND c.i = fold.i + 1),
+        parts AS (SELECT id, chunk, string_agg(p, {PAR} ORDER BY i) AS text FROM fold JOIN c USING (id, i) GROUP BY id, chunk UNION ALL SELECT id, 1, text FROM d WHERE t <= 100)
+        SELECT id || '_chunk_' || lpad(chunk::VARCHAR, 3, '0') AS chunk_id, id, chunk::INT AS chunk_index, count(*) OVER (PARTITION BY id)::INT AS total_chunks, {tokens('text')} AS tokens, md5(text) AS text_md5 FROM parts""",
+    "c6_sectionize": f"""WITH RECURSIVE {CURRENT}, d AS (SELECT id, title, text, {tokens('text')} AS t FROM docs),
+        ss AS (SELECT id, list_filter(list_transform({_parts}, lambda x: {strip('x')}), lambda x: x <> '') AS l FROM d WHERE t > 120),
+        sec AS (SELECT id, unnest(l) AS s, unnest(range(1, len(l) + 1)) AS k FROM ss),
+        hd AS (SELECT id, k, s, CASE WHEN regexp_matches(regexp_extract(s, '^[^{chr(92)}n]*'), '^{HEADING}') THEN {strip(f"regexp_replace(regexp_extract(s, '^[^{chr(92)}n]*'), '^{HEADING}', '')")} END AS title FROM sec),
+        q AS (SELECT id, k, title, regexp_split_to_array(s, '{chr(92)}n{{2,}}') AS l FROM hd), p AS (SELECT id, k, title, unnest(l) AS p, unnest(range(1, len(l) + 1)) AS i FROM q),
+        c AS (SELECT *, len({words('p')}) AS cost FROM p),
+        fold AS (SELECT id, k, i, 1 AS chunk, cost AS load FROM c WHERE i = 1 UNION ALL SELECT c.id, c.k, c.i, CASE WHEN floor((load + cost) * 1.3::DOUBLE) > 120 THEN chunk + 1 ELSE chunk END,
+            CASE WHEN floor((load + cost) * 1.3::DOUBLE) > 120 THEN cost ELSE load + cost END FROM fold JOIN c ON c.id = fold.id AND c.k = fold.k AND c.i = fold.i + 1),
+        parts AS (SELECT id, k, chunk, any_value(title) AS title, string_agg(p, {PAR} ORDER BY i) AS text FROM fold JOIN c USING (id, k, i) GROUP BY id, k, chunk),
+        n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY k, chunk) - 1 AS idx, last_value(title IGNORE NULLS) OVER (PARTITION BY id ORDER BY k, chunk ROWS UNBOUNDED PRECEDING) AS carried FROM parts)
+        SELECT substr(sha256(id || ':' || idx || ':' || text), 1, 16) AS id, id AS parent_id, idx::INT AS section_index, carried AS section_title, md5(text) AS text_md5 FROM n
+        UNION ALL SELECT id, id, 0, title, md5(text) FROM d WHERE t <= 120""",
+    "x13_normalize_concept": f"""WITH l AS (SELECT DISTINCT unnest(list_concat(coalesce(related_concepts, []), coalesce(candidate_concepts, []), [category, title])) AS label FROM corpus_document),
+        m AS (SELECT unnest({arr(_SLUGS)}) AS slug, unnest({arr(_SLUGS.values())}) AS concept)
+        SELECT label, concept FROM l LEFT JOIN m ON regexp_replace(regexp_replace(lower(label), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') = slug WHERE label IS NOT NULL""",
+    "x17_annotation": f"""WITH c AS (SELECT ord, lower(text) AS low, {concepts('lower(text)')} AS found, category_hint FROM corpus_document),
+        s AS (SELECT ord, low, found, {classify('found', 'low', 'category_hint')[0]} AS s FROM c), t AS (SELECT *, {classify('found', 'low', 'category_hint')[1]} AS total FROM s)
+        SELECT ord, array_to_string(found, ',') AS related_concepts, array_to_string(list_filter([{', '.join(f"CASE WHEN regexp_matches(low, '(?:^|[^{WORD}]){p}(?:[^{WORD}]|$)') THEN '{x}' END" for x, p in sorted((x, p) for p, x in V.CANDIDATE_PHRASES.items()))}], lambda x: x IS NOT NULL), ',') AS candidate_concepts,
+        CASE WHEN total = 0 THEN 'software_architecture' ELSE s[1].name END AS primary_category, CASE WHEN total = 0 THEN 0.0 ELSE round(-s[1].m / total, 3) END::DOUBLE AS category_confidence FROM t""",
+    "x18_rubric": f"WITH {EVALUATED} SELECT doc_id, item_id, category, difficulty, {', '.join(DIMENSIONS)}, overall, claims, revisits FROM e",
+    "x20_prompt_echo": f"WITH {ECHO}, {judged('pr', 'x')} SELECT doc_id, echo FROM x",
+    "a23_benchmark_scores": f"""WITH {EVALUATED} SELECT 'category' AS by, category AS value, {exact_mean('overall')} AS mean FROM e GROUP BY 2 UNION ALL SELECT 'difficulty', difficulty, {exact_mean('overall')} FROM e GROUP BY 2
+        {' '.join(f"UNION ALL SELECT 'dimension', '{x}', {exact_mean(x)} FROM e" for x in DIMENSIONS)}
+        UNION ALL SELECT 'all', 'overall', {exact_mean('overall')} FROM e UNION ALL SELECT 'all', 'claim_rate', round(avg((claims > 0)::INT), 4) FROM e UNION ALL SELECT 'all', 'revisit_rate', round(avg((revisits > 0)::INT), 4) FROM e""",
+    "a23_failure_modes": f"""WITH {EVALUATED}, r AS (SELECT doc_id, item_id, overall, concat_ws(';', CASE WHEN claims > 0 THEN 'unsupported_claims' END, CASE WHEN tradeoff_quality < 0.4::DOUBLE THEN 'weak_tradeoffs' END,
+        CASE WHEN reliability_reasoning < 0.4::DOUBLE THEN 'missing_reliability' END, CASE WHEN revisit_conditions < 0.4::DOUBLE THEN 'no_revisit_conditions' END,
+        CASE WHEN missing_info AND clarification_awareness <> 0.9::DOUBLE THEN 'missed_information' END) AS reasons FROM e)
+        SELECT doc_id, item_id, overall, CASE WHEN reasons = '' THEN 'low_score' ELSE reasons END AS reasons FROM r WHERE reasons <> '' OR overall < 0.5::DOUBLE""",
+    "w8_worst_responses": f"WITH {EVALUATED} SELECT doc_id, item_id, overall FROM e ORDER BY overall, doc_id, item_id LIMIT 20",
+    "j4_review_export": f"""WITH {EVALUATED} SELECT e.doc_id, e.item_id, overall, claims, question, e.difficulty, md5(text) AS response_md5, false AS audited, '' AS notes, NULL::DOUBLE AS score_override
+        FROM e JOIN benchmark_sample b ON e.item_id = b.item_id JOIN documents d ON e.doc_id = d.doc_id""",
+    "j6_incomplete_runs": f"""WITH {EVALUATED}, m AS (SELECT item_id, concat_ws(';', CASE WHEN item_id NOT IN (SELECT item_id FROM e) THEN 'output' END, CASE WHEN item_id NOT IN (SELECT item_id FROM e WHERE difficulty <> 'easy') THEN 'score' END) AS missing FROM benchmark_sample)
+        SELECT item_id, missing FROM m WHERE missing <> ''""",
+    "o11_comparison": f"""WITH {EVALUATED}, r AS ({' UNION ALL '.join(f"SELECT '{x}' AS metric, {exact_mean(x, "difficulty = 'easy'")} AS base, {exact_mean(x, "difficulty = 'hard'")} AS candidate FROM e" for x in [*DIMENSIONS, 'overall'])})
+        SELECT *, round(candidate - base, 4) AS delta FROM r""",
+    "a24_behaviour": f"WITH {ECHO}, {judged('pr', 'x')} SELECT * FROM x_s",
+    "a25_regressions": f"""WITH {ECHO}, pw AS (SELECT doc_id, prompt, prompt || ' ' || prompt AS response, 0.3::DOUBLE AS score FROM pr), {judged('pr', 'x')}, {judged('pw', 'y')},
+        f AS (SELECT concat_ws(';', {', '.join(f"CASE WHEN x_s.{n} > 0.05::DOUBLE THEN 'base_unhealthy:{n}' END, CASE WHEN y_s.{n} > x_s.{n} + 0.05::DOUBLE THEN 'regressed:{n}' END" for n in ('repetition_rate', 'echo_rate', 'failure_rate'))},
+        CASE WHEN y_s.mean_score < x_s.mean_score - 0.1::DOUBLE THEN 'regressed:mean_score' END) AS failures FROM x_s, y_s) SELECT failures = '' AS passed, failures FROM f""",
+    "a26_fingerprint": f"WITH {CURRENT}, l AS (SELECT sha256(id || chr(0) || sha256(text) || chr(0) || coalesce(license_id, '')) AS h FROM docs) SELECT sha256('curated' || string_agg(h, '' ORDER BY h)) AS fingerprint FROM l",
+    "a27_corpus_hash": f"WITH {CURRENT}, l AS (SELECT sha256(coalesce(text, '')) AS h FROM docs) SELECT sha256(string_agg(h, '' ORDER BY h)) AS fingerprint FROM l",
+    "a28_packing_statistics": f"WITH {CURRENT}, {STREAM} SELECT t AS packed_tokens, sequences * 2048 - t AS padding_tokens, sequences, coalesce(round(t::DOUBLE / nullif(sequences * 2048, 0), 6), 0) AS efficiency FROM total",
+    "a29_manifest": f"""{TOK_DOCS}, x AS (SELECT *, {three_way("coalesce(nullif(metadata['provenance_group_id'], ''), id)")} AS split, sha256(id || chr(0) || sha256(id) || chr(0)) AS h FROM d)
+        SELECT count(*) AS documents, sum(tokens)::BIGINT AS tokens, count(DISTINCT source_id) AS sources, count(DISTINCT category) AS categories,
+        {', '.join(f"coalesce(sum(tokens) FILTER (split = '{x}'), 0)::BIGINT AS {x}_tokens" for x in ('train', 'validation', 'heldout'))}, sha256(string_agg(h, '' ORDER BY h)) AS fingerprint FROM x""",
+    "a21_diagnostics": """SELECT id AS source_id, category, CASE WHEN coalesce(enabled, false) THEN 'active' WHEN contains(coalesce(license_id, ''), 'NC') THEN 'disabled_license_restriction' ELSE 'disabled_user_config' END AS status,
+        CASE WHEN coalesce(enabled, false) THEN 'verified_active' WHEN contains(coalesce(license_id, ''), 'NC') THEN 'license_non_commercial_restriction' ELSE 'disabled_user_config' END AS classification, coalesce(enabled, false) AS active FROM source_config""",
+    "a30_readiness": f"WITH {READY} SELECT * EXCLUDE (benchmark_samples) FROM v",
+    "a30_readiness_reverse": f"WITH {READY} SELECT * FROM v",
+    "f15_preflight": f"""{TOK_DOCS}, h AS (SELECT source_id, sum(tokens) AS t FROM d GROUP BY 1), c AS (SELECT sum(coalesce(nullif(source_token_cap, 0), 600000)) AS cap, sum(least(coalesce(nullif(source_token_cap, 0), 600000), coalesce(t, 0))) AS reach
+        FROM source_config s LEFT JOIN h ON s.id = h.source_id), w AS (SELECT unnest({arr([*V.CATEGORIES[:9], 'robotics'])}) AS category), g AS (SELECT category, sum(tokens) AS t FROM d GROUP BY 1)
+        SELECT 'source_caps' AS rule, cap::VARCHAR AS value FROM c WHERE cap < 600000 UNION ALL SELECT 'eligible_tokens', reach::VARCHAR FROM c WHERE reach < 588000
+        UNION ALL SELECT 'category_floor', w.category FROM w LEFT JOIN g ON w.category = g.category WHERE coalesce(t, 0) < 30000""",
+    "f16_violations": f"""{TOK_DOCS}, n AS (SELECT sum(tokens)::DOUBLE AS n FROM d), w AS (SELECT unnest({arr(V.CATEGORIES)}) AS category), g AS (SELECT category, sum(tokens) AS t FROM d GROUP BY 1)
+        SELECT 'token_tolerance' AS rule, n::BIGINT::VARCHAR AS value FROM n WHERE n < 196000 OR n > 204000
+        UNION ALL SELECT 'source_share', source_id FROM d, n GROUP BY source_id, n HAVING round(sum(tokens) / n, 4) > 0.05::DOUBLE + 0.0001::DOUBLE
+        UNION ALL SELECT 'category_share', w.category FROM w LEFT JOIN g ON w.category = g.category, n WHERE abs(coalesce(round(t / n, 4), 0) - 0.1::DOUBLE) > 0.05::DOUBLE
+        UNION ALL SELECT 'duplicate_id', id FROM d GROUP BY id HAVING count(*) > 1 UNION ALL SELECT 'duplicate_content', sha256({squeeze('text')}) FROM d GROUP BY 2 HAVING count(*) > 1""",
+    "f17_batch_problems": f"WITH {CURRENT}, {STREAM}, q AS (SELECT unnest(range(sequences)) AS sequence FROM total) SELECT sequence, CASE sequence % 7 WHEN 1 THEN 'length' WHEN 2 THEN 'token_range' ELSE 'no_labels' END AS problem FROM q WHERE sequence % 7 IN (1, 2, 3)",
+    "w10_pack_stream": f"""WITH {CURRENT}, {STREAM}, o AS (SELECT id, w, sum(size) OVER (ORDER BY id) - size AS begin FROM m),
+        x AS (SELECT begin + unnest(range(len(w) + 1)) AS pos, unnest(list_append(list_transform(w, lambda z: ({hexnum('z', 1, 8)} % 100000)::BIGINT), 0::BIGINT)) AS token FROM o),
+        y AS (SELECT (pos // 2048)::BIGINT AS sequence, string_agg(token::VARCHAR, ',' ORDER BY pos) AS ids, count(*) AS n FROM x GROUP BY 1)
+        SELECT sequence, md5(ids || repeat(',0', 2048 - n)) AS ids_md5, (2048 - n)::INT AS padding FROM y""",
+    "d6_components": f"""WITH RECURSIVE {CURRENT}, l AS (SELECT DISTINCT 's:' || source_id AS u, 'c:' || c || '/' || license_id AS v FROM (SELECT source_id, license_id, unnest(related_concepts) AS c FROM docs)),
+        e AS (SELECT u, v FROM l WHERE u IS NOT NULL AND v IS NOT NULL UNION SELECT v, u FROM l WHERE u IS NOT NULL AND v IS NOT NULL), n AS (SELECT u AS node FROM l WHERE u IS NOT NULL AND v IS NOT NULL UNION SELECT v FROM l WHERE v IS NOT NULL),
+        reach AS (SELECT node AS root, node FROM n UNION SELECT root, v FROM reach JOIN e ON node = u) SELECT node, min(root) AS component FROM reach GROUP BY node""",
+    "d8_near_duplicates": f"{NEAR} SELECT * FROM near",
+    "split_clusters": f"{NEAR} SELECT id, cluster, CASE WHEN {score64(KEY42)} < 0.95::DOUBLE THEN 'train' ELSE 'validation' END AS split FROM near",
+    "d12_cross_editions": f"""{near_sql(BY_CRAWL)}, t AS (SELECT id, source_id, text, {tokens('text')} AS tokens FROM docs),
+        g AS (SELECT sha256(text) AS key, count(*) AS documents, (sum(tokens) - max(tokens))::BIGINT AS tokens_saved FROM t GROUP BY 1 HAVING count(DISTINCT source_id) = 2),
+        c AS (SELECT cluster AS key, count(*) AS documents, coalesce(sum(tokens) FILTER (NOT kept), 0)::BIGINT AS tokens_saved FROM near JOIN t USING (id) GROUP BY 1 HAVING count(DISTINCT source_id) = 2)
+        SELECT 'text' AS kind, * FROM g UNION ALL SELECT 'cluster', * FROM c""",
 }

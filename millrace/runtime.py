@@ -16,6 +16,8 @@ _scratch_root: str | None = None
 
 #: Sides of joins up to this number of rows (some 10 MB of narrow rows) are broadcast.
 BROADCAST_ROWS = 100_000
+#: Keys of more rows than this are joined apart from the others.
+HOT_ROWS = 100_000
 #: Copies of a larger side, over which the rows of a hot key are dealt.
 SALTS = 32
 
@@ -129,6 +131,24 @@ def lookup(rows: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inne
     return dealt.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def attach(rows: DataFrame, side: DataFrame, key: str, count: str, spread: Column, hot: int = HOT_ROWS) -> DataFrame:
+    """`rows` left-joined with the stored `side` on `key`, where side's column `count` tells how many rows have the key.
+
+    A side of at most `BROADCAST_ROWS` rows is broadcast, so the rows do not move at all. Otherwise keys of more than `hot` rows
+    are looked up apart (see `lookup`), and in the shuffle of the others their rows are dealt by `spread`, a column
+    that tells them apart, so no task gets more than its share of a hot key.
+    """
+    if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(side), key, "left")
+    names = [c for c in side.columns if c != key]
+    busy = side.filter(F.col(count) > hot).select(key, *[F.col(c).alias(f"_hot_{c}") for c in names])
+    calm = side.filter(F.col(count) <= hot).select(F.col(key).alias("_key"), *[F.col(c).alias(f"_calm_{c}") for c in names])
+    found = lookup(rows, busy, [key], "left")
+    found = found.withColumn("_key", F.when(F.col(f"_hot_{count}").isNull(), F.col(key)).otherwise(F.concat(F.lit("\x00"), F.sha2(spread.cast("string"), 256))))
+    out = found.join(calm, "_key", "left")
+    return out.select(*rows.columns, *[F.coalesce(f"_hot_{c}", f"_calm_{c}").alias(c) for c in names])
+
+
 def numbered(df: DataFrame, count: Column, out: str, block: int = 1 << 15) -> DataFrame:
     """Every row repeated `count` times with `out` = 1, 2, ..., in two steps, so that no array grows with the count."""
     n = count.cast("long")

@@ -3,11 +3,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import runtime
 from millrace.operators import analytics, balance, dedup, evaluation, sections, sequence, split
 from millrace.operators.components import merge_components
 from millrace.operators.neardup import NearDuplicates
 from millrace.plans import pipelines, queries
-from millrace.runtime import running_totals
+from millrace.runtime import lookup, numbered, running_totals
 
 
 def test_running_totals_over_a_hot_group(spark):
@@ -218,3 +219,114 @@ def test_rubric_and_behaviour(spark):
     assert [x[0] for x in d.select(evaluation.repeats(F.concat_ws(" ", "response", "response"))).collect()][0]
     good, bad = evaluation.behaviour(d.limit(0)), evaluation.behaviour(d)
     assert good.first().total == 0 and not evaluation.regressions(bad, bad).first().passed
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_lookup_without_broadcast(spark, how):
+    rows = spark.createDataFrame([(("hot" if i % 3 else f"k{i % 7}") if i % 10 else None, i) for i in range(200)], "k string, i int")
+    side = spark.createDataFrame([("hot", 1), ("k3", 2), ("none", 3)], "k string, v int")
+    want = sorted(map(str, rows.join(side, "k", how).collect()))
+    assert sorted(map(str, lookup(rows, side, ["k"], how, most=0).collect())) == sorted(map(str, lookup(rows, side, ["k"], how).collect())) == want
+    assert lookup(rows.limit(0), side, ["k"], how, most=0).count() == 0
+
+
+def test_numbered_rows(spark):
+    d = spark.createDataFrame([("a", 5), ("b", 0), ("c", None), ("d", 1)], "k string, n int")
+    got = sorted((r.k, r.i) for r in numbered(d, F.col("n"), "i", block=2).collect())
+    assert got == [("a", i) for i in range(1, 6)] + [("d", 1)]
+
+
+def test_exact_duplicates_of_a_hot_text(spark, monkeypatch):
+    """A third of the rows share one text; the rows are joined by a shuffle, the hot text apart from the others."""
+    rows = [(i, f"d{i:03d}", "same  text" if i % 3 == 0 else None if i % 50 == 1 else f"t{i // 4}", {"k": "v"}) for i in range(150)]
+    d = spark.createDataFrame(rows, "ord long, id string, text string, metadata map<string,string>")
+    plain = sorted((r.ord, r.canonical, r.kept) for r in dedup.exact_duplicates(d, [F.col("ord")]).collect())
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(runtime.attach, "__defaults__", (10,))
+    spread = dedup.exact_duplicates(d, [F.col("ord")])
+    assert sorted((r.ord, r.canonical, r.kept) for r in spread.collect()) == plain and len(plain) == 150
+    assert set(spread.columns) == {*d.columns, "dedup_key", "kept", "canonical"}
+    assert dedup.exact_duplicates(d.limit(0), [F.col("ord")]).count() == 0
+
+
+def test_hash_of_a_large_set(spark):
+    d = spark.range(500).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    a = analytics.set_hash(d, most=50).first()[0]
+    assert a == analytics.set_hash(d.repartition(7), most=50).first()[0] != analytics.set_hash(d.limit(499), most=50).first()[0]
+    plain = analytics.set_hash(d, "x").first()[0]
+    import hashlib
+
+    assert plain == hashlib.sha256(("x" + "".join(sorted(hashlib.sha256(str(i).encode()).hexdigest() for i in range(500)))).encode()).hexdigest()
+    assert analytics.set_hash(d.limit(0)).first()[0] == hashlib.sha256(b"").hexdigest()
+    docs = spark.createDataFrame([("a", "x", None), ("b", None, "MIT")], "id string, text string, license_id string")
+    assert len(analytics.corpus_hash(docs).first()[0]) == 64
+
+
+def test_stratified_head_of_a_hot_stratum(spark):
+    d = spark.createDataFrame([(i, "easy" if i % 5 else "hard") for i in range(300)] + [(None, "easy"), (7, None)], "i int, level string")
+    got = sorted((r.level, r.i) for r in sequence.stratified_head(d.filter("i is not null"), "level", "i", {"easy": 4, "hard": 2, "none": 3}).collect())
+    assert got == [("easy", 1), ("easy", 2), ("easy", 3), ("easy", 4), ("hard", 0), ("hard", 5)]
+
+
+def test_failures_completeness_and_comparison(spark):
+    dims = {d: 0.9 for d in evaluation.DIMENSIONS}
+    rows = [("good", 0.9, 0, False, False, dims), ("claims", 0.9, 2, None, None, dims), ("weak", 0.3, 0, True, False, {**dims, "tradeoff_quality": 0.1}), ("low", 0.4, 0, True, True, dims)]
+    flat = [(i, o, c, m, a, *[ds[d] for d in evaluation.DIMENSIONS]) for i, o, c, m, a, ds in rows]
+    e = spark.createDataFrame(flat, "id string, overall double, claims int, missing_info boolean, acknowledged boolean, " + ", ".join(f"{d} double" for d in evaluation.DIMENSIONS))
+    got = {r.id: r.reasons for r in evaluation.failure_modes(e, ["id"]).collect()}
+    assert got == {"claims": ["unsupported_claims"], "weak": ["weak_tradeoffs", "missed_information"], "low": ["low_score"]}
+    assert [r.id for r in evaluation.worst(e, ["id"], 2).collect()] == ["weak", "low"]
+    keys = lambda *k: spark.createDataFrame([(x,) for x in k], "id string")
+    assert {r.id: r.missing for r in evaluation.incomplete(keys("a", "b", "b"), keys("a", "b"), keys("a", "c"), "id").collect()} == {"b": ["score"], "c": ["prompt", "output"]}
+    assert evaluation.incomplete(keys("a"), keys("a"), keys("a"), "id").count() == 0
+    review = evaluation.review_export(spark.createDataFrame([("good", "q")], "id string, question string"), spark.createDataFrame([("good", "r"), ("x", "r")], "id string, response string"), e.select("id", "overall"), "id").collect()
+    assert [(r.id, r.question, r.response, r.audited) for r in review] == [("good", "q", "r", False)]
+    m = lambda **k: spark.createDataFrame(list(k.items()), "metric string, value double")
+    assert {r.metric: r.delta for r in evaluation.comparison(m(a=0.5, b=0.1), m(a=0.75)).collect()} == {"a": 0.25, "b": None}
+
+
+def test_preflight_and_strict_freeze(spark):
+    docs = spark.createDataFrame([("s1", "a", 100), ("s2", "a", 300), ("s9", "b", 50)], "source_id string, category string, tokens long")
+    sources = spark.createDataFrame([("s1", 50), ("s2", None)], "id string, source_token_cap long")
+    bad = {(r.rule, r.value) for r in balance.preflight_violations(docs, sources, {"a": 0.5, "b": 0.5}, 400).collect()}
+    assert bad == {("eligible_tokens", "350"), ("category_floor", "b")}
+    assert balance.preflight_violations(docs, sources, {"a": 0.5}, 300).count() == 0
+    assert {r.rule for r in balance.preflight_violations(docs.limit(0), sources.limit(0), {"a": 1.0}, 10).collect()} == {"source_caps", "eligible_tokens", "category_floor"}
+    with pytest.raises(ValueError, match="freeze refused: eligible_tokens"):
+        pipelines._refuse(spark.createDataFrame([("eligible_tokens", "1")], "rule string, value string"), pipelines.FreezeSettings(strict=True))
+
+
+def test_balance_tells_whether_it_is_satisfied(spark):
+    rows = [(f"a{i}", "s1", "c", "o", 100, 0.5) for i in range(4)]
+    d = spark.createDataFrame(rows, "id string, source_id string, category string, organization string, tokens long, score double")
+    assert {r.satisfied for r in balance.balance(d, {"source_id": 0.5, "category": 1.0, "organization": 1.0}).collect()} == {False}
+    assert {r.satisfied for r in balance.balance(d, {"source_id": 1.0, "category": 1.0, "organization": 1.0}).collect()} == {True}
+
+
+def test_sections_without_a_path_stay_alone(spark):
+    d = spark.createDataFrame([(i, "s", None, n, "consensus here", "system_design") for n, i in enumerate("abc")], "id string, source_id string, relative_path string, section_index int, text string, category_hint string")
+    assert sorted(r.section_ids for r in sections.merge_sections(d, 100).collect()) == [["a"], ["b"], ["c"]]
+
+
+def test_verified_license_makes_a_record_valid(spark):
+    rows = [("1", "one text", "s", "c", "en", "u", None, "train", {"verified_license_id": "MIT"}), ("2", "two text", "s", "c", "en", "u", None, "train", None)]
+    docs = spark.createDataFrame(rows, "id string, text string, source_id string, category string, language string, source_url string, license_id string, split string, metadata map<string,string>")
+    items = spark.createDataFrame([], "text string, passages array<string>")
+    assert pipelines.readiness(docs, items).first().invalid_records == 1
+
+
+def test_training_checks(spark):
+    from pathlib import Path
+
+    from millrace.functions import checks
+
+    rows = [(1.0, 1.0), (float("nan"), 1.0), (1.0, float("inf")), (1.0, 99.0), (None, 1.0)]
+    got = [r[0] for r in spark.createDataFrame(rows, "l double, g double").select(checks.step_problem(F.col("l"), F.col("g"), 10.0)).collect()]
+    assert got == [None, "loss", "gradient_norm", "gradient_norm", "loss"]
+    assert checks.config_hash({"a": Path("x/y"), "b": (1, 2)}) == checks.config_hash({"b": [1, 2], "a": "x/y"}) != checks.config_hash({"a": "x"})
+
+
+def test_diagnostics_of_checked_sources(spark):
+    s = spark.createDataFrame([("a", "c", True, "MIT"), ("b", "c", True, "MIT"), ("d", "c", False, "CC-BY-NC"), ("e", "c", None, None)], "id string, category string, enabled boolean, license_id string")
+    got = {r.source_id: r.status for r in pipelines.diagnostics(s, spark.createDataFrame([("b", False), ("a", True)], "source_id string, valid boolean")).collect()}
+    assert got == {"a": "active", "b": "disabled_unclear_license", "d": "disabled_license_restriction", "e": "disabled_user_config"}

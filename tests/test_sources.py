@@ -61,6 +61,80 @@ def test_records(spark, tmp_path):
     assert spark.read.schema(schema).json(str(tmp_path / "out" / "train.jsonl")).count() == 1 and not (tmp_path / "out.staging").exists()
 
 
+def test_repositories_need_the_license_they_declare(spark, tmp_path):
+    (tmp_path / "docs").mkdir()
+    (tmp_path / ".git").mkdir()
+    (tmp_path / ".git" / "HEAD").write_text("ref: refs/heads/main\n")
+    (tmp_path / ".git" / "packed-refs").write_text("# packed\nabc123 refs/heads/main\n")
+    (tmp_path / "docs" / "a.md").write_text("# Title\n\ntext")
+    (tmp_path / "LICENSE").write_text("MIT License")
+    git = lambda **k: files.Source("g", type="git_repository", path=str(tmp_path), url="https://github.com/o/r.git", include_patterns=("docs/**",), **k)
+    row = files.read_source(spark, git(license_id="MIT")).first()
+    assert row.source_url == "https://github.com/o/r/blob/abc123/docs/a.md" and row.license_id == "MIT" and len(row.id) == 16
+    assert row.id != files.read_directory(spark, git(license_id="MIT")).first().id
+    assert files.read_source(spark, git(license_id="CC-BY-4.0")).count() == 0 and files.read_source(spark, git()).count() == 0
+    (tmp_path / "LICENSE").unlink()
+    assert files.read_source(spark, git(license_id="MIT")).count() == 0
+    assert files.commit_of(str(tmp_path / "docs")) == "unknown"
+
+
+def test_fetched_pages(spark, tmp_path):
+    rows = [("http://a/x", "<h1>T</h1><p>x</p>"), ("http://b", "<p>other</p>"), ("http://a/y", "<nav>n</nav>")]
+    spark.createDataFrame(rows, "url string, html string").write.parquet(str(tmp_path / "pages"))
+    source = files.Source("h", type="http_documentation", path=str(tmp_path / "pages"), url="http://a", license_id="MIT")
+    assert [r.source_url for r in files.read_source(spark, source).collect()] == ["http://a/x"]
+    both = files.read_sources(spark, [source, files.Source("d", path=str(tmp_path), include_patterns=("*.md",))])
+    assert both.count() == 1
+    with pytest.raises(ValueError):
+        files.read_source(spark, files.Source("h", type="http_documentation"))
+
+
+def test_single_html_file(spark, tmp_path):
+    (tmp_path / "a.htm").write_text("<nav>n</nav><h1>T</h1>")
+    (tmp_path / "b.txt").write_text("<h1>U</h1>")
+    assert files.read_file(spark, files.Source("s", path=str(tmp_path / "a.htm"))).first().text.strip() == "# T"
+    assert files.read_file(spark, files.Source("s", path=str(tmp_path / "b.txt"), parser="html")).first().text.strip() == "# U"
+
+
+def test_dry_run(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"f{i:02d}.md").write_text("x")
+    got = {r.source_id: r for r in files.dry_run(spark, [files.Source("a", path=str(tmp_path)), files.Source("off", path=str(tmp_path), enabled=False), files.Source("gone", path=str(tmp_path / "no"))]).collect()}
+    assert got["a"].candidates == 12 and got["a"].candidate_files == [f"f{i:02d}.md" for i in range(10)]
+    assert got["off"].candidates == got["gone"].candidates == 0 and list(got["off"].candidate_files) == []
+
+
+def test_published_artifacts_are_verified_and_recovered(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "a")], "id string, text string")
+    path = str(tmp_path / "art")
+    files.publish({"train": rows}, path, {"n": 1})
+    files.verify_artifact(spark, path)
+    (tmp_path / "art" / "extra.txt").write_text("x")
+    with pytest.raises(ValueError, match="extra.txt"):
+        files.verify_artifact(spark, path)
+    (tmp_path / "art").rename(tmp_path / "art.previous")  # a job that died between the two renames
+    assert files.recover(spark, path) and (tmp_path / "art" / "manifest.json").exists() and not files.recover(spark, path)
+    files.publish({"train": rows}, path)
+    files.verify_artifact(spark, path)
+    assert not (tmp_path / "art.previous").exists() and not (tmp_path / "art" / "extra.txt").exists()
+
+
+def test_packed_sequences_and_reports(spark, tmp_path):
+    from millrace.operators import sequence
+
+    docs = spark.createDataFrame([("b", "one two three"), ("a", "four " * 70)], "id string, text string")
+    files.write_packed(sequence.pack_stream(docs, 32), str(tmp_path / "packed"))
+    back = files.read_packed(spark, str(tmp_path / "packed"))
+    assert sequence.packing_statistics(back).first().packed_tokens == 75
+    assert json.loads((tmp_path / "packed" / "manifest.json").read_text())["statistics"]["sequences"] == 3
+    files.write_packed(sequence.pack_stream(docs.limit(0), 32), str(tmp_path / "none"))
+    with pytest.raises(ValueError):
+        files.read_packed(spark, str(tmp_path / "none"))
+    files.write_report({"Docs": docs, "None": docs.limit(0)}, str(tmp_path / "r.md"), most=1)
+    text = (tmp_path / "r.md").read_text()
+    assert "## Docs" in text and "2 rows in all" in text and "| id | text |" in text
+
+
 def test_manifest(tmp_path):
     pytest.importorskip("yaml")
     path = tmp_path / "m.yaml"
