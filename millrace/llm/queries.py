@@ -209,6 +209,43 @@ _MIXED = f"""d AS (SELECT doc_id, {_SQUEEZE.format('source')} AS k, {_TOKENS.rep
         mixed AS (SELECT mixture_id, source_key, doc_id, tokens, (floor(c * place + o) - floor(c * (place - 1) + o))::BIGINT AS copies
             FROM (SELECT *, {_hash(5, "'42'", 'mixture_id', 'k')} / 1048576::DOUBLE AS o FROM want) w JOIN placed USING (k))"""
 
+def _current_nodes(rows: str) -> str:
+    return f"(SELECT id, s, a, coalesce(s, a, 'd:' || id) AS anchor FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ord DESC) AS rn FROM {rows}) WHERE rn = 1)"
+
+
+def _dealt(rows: str, size: str, extra: str = "true") -> str:
+    return f"(SELECT c, {size} > 0 AND sum(n) OVER (ORDER BY sha256(c), c) - n / 2.0::DOUBLE < {size} AS here FROM {rows} WHERE n <= greatest(1.0::DOUBLE, {size}) AND {extra})"
+
+
+_SPLITS = f"""WITH RECURSIVE raw AS (SELECT id, ord, {_SQUEEZE.format('source_id')} AS s0, {_SQUEEZE.format("metadata['author']")} AS a0, ingested_at <= fetched_at + INTERVAL 1 DAY AS prompt FROM corpus_document WHERE id IS NOT NULL),
+        node AS (SELECT id, ord, prompt, CASE WHEN s0 NOT IN ({_NOBODY}) THEN 's:' || s0 END AS s, CASE WHEN a0 NOT IN ({_NOBODY}) THEN 'a:' || a0 END AS a FROM raw), early AS (SELECT * FROM node WHERE prompt),
+        d1 AS {_current_nodes('early')}, d2 AS {_current_nodes('node')},
+        own AS (SELECT DISTINCT 's:' || {_SQUEEZE.format('id')} AS u, 'o:' || o AS v FROM (SELECT id, {_SQUEEZE.format('repository_owner')} AS o FROM source_config) WHERE o NOT IN ({_NOBODY})),
+        l1 AS (SELECT anchor AS u, coalesce(a, anchor) AS v FROM d1 UNION SELECT u, v FROM own WHERE u IN (SELECT s FROM d1)), l2 AS (SELECT anchor AS u, coalesce(a, anchor) AS v FROM d2 UNION SELECT u, v FROM own WHERE u IN (SELECT s FROM d2)),
+        e1 AS (SELECT u, v FROM l1 UNION SELECT v, u FROM l1), e2 AS (SELECT u, v FROM e1 UNION SELECT u, v FROM l2 UNION SELECT v, u FROM l2),
+        r1 AS (SELECT u AS root, u AS n FROM e1 UNION SELECT root, v FROM r1 JOIN e1 ON n = u), r2 AS (SELECT u AS root, u AS n FROM e2 UNION SELECT root, v FROM r2 JOIN e2 ON n = u),
+        c1 AS (SELECT n AS node, min(root) AS c FROM r1 GROUP BY n), c2 AS (SELECT n AS node, min(root) AS c FROM r2 GROUP BY n),
+        z1 AS (SELECT c, count(*) AS n FROM d1 JOIN c1 ON anchor = c1.node GROUP BY c), y1 AS (SELECT c, n, (SELECT 0.05::DOUBLE * sum(n) FROM z1) AS v FROM z1),
+        h1 AS {_dealt('y1', 'v')}, g1 AS {_dealt('y1', 'v', 'c NOT IN (SELECT c FROM h1 WHERE here)')},
+        s1 AS (SELECT c, CASE WHEN c IN (SELECT c FROM h1 WHERE here) THEN 'heldout' WHEN c IN (SELECT c FROM g1 WHERE here) THEN 'validation' ELSE 'train' END AS split FROM z1),
+        had AS (SELECT c2.c, min(s1.split) AS lo, max(s1.split) AS hi FROM c1 JOIN s1 ON c1.c = s1.c JOIN c2 ON c1.node = c2.node GROUP BY c2.c),
+        z2 AS (SELECT c, count(*) AS n FROM d2 JOIN c2 ON anchor = c2.node GROUP BY c),
+        j AS (SELECT z2.c, n, CASE WHEN lo = hi THEN lo WHEN lo IS NOT NULL THEN 'quarantine' END AS split FROM z2 LEFT JOIN had ON z2.c = had.c),
+        lack AS (SELECT greatest(0.0::DOUBLE, 0.05::DOUBLE * total - h) AS dh, greatest(0.0::DOUBLE, 0.05::DOUBLE * total - v) AS dv FROM (SELECT sum(n) FILTER (split IS DISTINCT FROM 'quarantine') AS total,
+            coalesce(sum(n) FILTER (split = 'heldout'), 0) AS h, coalesce(sum(n) FILTER (split = 'validation'), 0) AS v FROM j)),
+        y2 AS (SELECT c, n, greatest(dh, dv) AS va, least(dh, dv) AS vb, CASE WHEN dv > dh THEN 'validation' ELSE 'heldout' END AS ka, CASE WHEN dv > dh THEN 'heldout' ELSE 'validation' END AS kb FROM j, lack WHERE split IS NULL),
+        h2 AS {_dealt('y2', 'va')}, g2 AS {_dealt('y2', 'vb', 'c NOT IN (SELECT c FROM h2 WHERE here)')},
+        s2 AS (SELECT c, split FROM j WHERE split IS NOT NULL UNION ALL SELECT c, CASE WHEN c IN (SELECT c FROM h2 WHERE here) THEN ka WHEN c IN (SELECT c FROM g2 WHERE here) THEN kb ELSE 'train' END FROM y2)
+        SELECT id, c2.c AS component, split FROM d2 JOIN c2 ON anchor = c2.node JOIN s2 ON c2.c = s2.c"""
+_TWO_CAPS = f"""WITH RECURSIVE {_CURRENT}, total AS (SELECT count(*) AS n FROM current_row), caps AS (SELECT {_SQUEEZE.format('id')} AS k, min(document_cap_permille * n // 1000) AS cap FROM source_config, total WHERE document_cap_permille IS NOT NULL GROUP BY 1),
+        d AS (SELECT id, quality_score, {_SQUEEZE.format('source_id')} AS s, {_SQUEEZE.format("metadata['author']")} AS a FROM current_row),
+        o AS (SELECT row_number() OVER (ORDER BY CASE WHEN quality_score BETWEEN 0 AND 1 THEN -quality_score ELSE 2 END, d.id) AS r, d.id, s AS source, coalesce(s, '') AS s, cap AS sc, CASE WHEN a NOT IN ({_NOBODY}) THEN 'author:' || a ELSE 'author:' END AS a,
+            CASE WHEN a NOT IN ({_NOBODY}) THEN {AUTHOR_PERMILLE} * n // 1000 END AS ac FROM d LEFT JOIN caps ON s = k, total),
+        step AS (SELECT 0::BIGINT AS r, MAP {{'': 0::BIGINT}} AS used, true AS kept UNION ALL
+            SELECT r, CASE WHEN k THEN map_concat(used, MAP {{s: coalesce(used[s], 0) + 1, a: coalesce(used[a], 0) + 1}}) ELSE used END, k FROM (SELECT o.r, used, s, a,
+            (sc IS NULL OR coalesce(used[s], 0) < sc) AND (ac IS NULL OR coalesce(used[a], 0) < ac) AS k FROM step JOIN o ON o.r = step.r + 1))
+        SELECT id, source FROM step JOIN o ON o.r = step.r WHERE NOT kept"""
+
 SQL: dict[str, str] = {
     "p2_found": f"""
         WITH {_CURRENT}, n AS (SELECT count(*) AS n FROM current_row),
@@ -279,4 +316,6 @@ SQL: dict[str, str] = {
         WITH {_MIXED}, g AS (SELECT mixture_id, source_key, count(*) AS pages, sum(tokens * copies)::BIGINT AS t FROM mixed WHERE copies > 0 GROUP BY ALL)
         SELECT w.mixture_id, w.source_key, target_weight, coalesce(round(coalesce(t, 0)::DOUBLE / nullif(sum(coalesce(t, 0)) OVER (PARTITION BY w.mixture_id), 0), 6), 0) AS actual_share, coalesce(pages, 0) AS pages,
         coalesce(t, 0)::BIGINT AS tokens, wanted, supply * most < wanted AS short FROM want w LEFT JOIN g ON w.mixture_id = g.mixture_id AND w.source_key = g.source_key""",
+    "p5_splits": _SPLITS,
+    "p2_source_author_caps": _TWO_CAPS,
 }
