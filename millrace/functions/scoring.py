@@ -91,7 +91,7 @@ def occurrences(text: Column, phrases: Sequence[str]) -> Column:
     """Non-overlapping occurrences of every phrase, added up."""
     total = F.lit(0)
     for p in phrases:
-        total = total + (F.length(text) - F.length(F.replace(text, F.lit(p), F.lit("")))) / len(p)
+        total = total + F.when(text.contains(p), (F.length(text) - F.length(F.replace(text, F.lit(p), F.lit("")))) / len(p)).otherwise(0)
     return total.cast("long")
 
 
@@ -159,7 +159,7 @@ def gate_reasons(text: Column, lang: Column, source: Column, chars: int = 80, le
         return F.array_compact(
             F.array(
                 F.when(F.length(t) < chars, "short_chars"),
-                F.when(F.size(words(t)) < least_words, "short_words"),
+                F.when(F.regexp_count(t, F.lit(PIECE)) < least_words, "short_words"),
                 F.when(~F.coalesce(lang.isin(*languages), F.lit(False)), "language"),
                 F.when(strip(F.coalesce(source, F.lit(""))) == "", "provenance"),
                 F.when((solid > 0) & (share > symbols), "symbols"),

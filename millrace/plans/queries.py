@@ -32,8 +32,8 @@ def _rows(spark, sf) -> DataFrame:
 
 
 def _docs(spark, sf) -> DataFrame:
-    """Current documents with their tokens."""
-    return current(_rows(spark, sf)).withColumn("tokens", scoring.python_tokens(F.col("text")))
+    """Current documents with their tokens, which are counted first, so that texts are moved only for queries that read them."""
+    return current(_rows(spark, sf).withColumn("tokens", scoring.python_tokens(F.col("text"))))
 
 
 def _sources(spark, sf) -> DataFrame:
