@@ -1,5 +1,6 @@
 """The pN operators against brute force on small tables with nulls, ties, repeated rows and hot groups."""
 
+import hashlib
 import random
 import re
 
@@ -294,6 +295,25 @@ def test_new_components_fill_the_split_that_lacks(spark):
     assert by == {"train": 1800, "validation": 100, "heldout": 100} and got.count() == len(sizes)
 
 
+def test_the_deal_samples_no_keys_into_the_driver(spark, monkeypatch):
+    rng = random.Random(5)
+    sizes = {f"c{i}": rng.choice([1, 1, 2, 3, 40]) for i in range(600)}
+    want, left = dict.fromkeys(sizes, "train"), sorted(sizes, key=lambda c: hashlib.sha256(c.encode()).hexdigest())
+    room = 0.05 * sum(sizes.values())
+    for split in ("heldout", "validation"):
+        upto = 0
+        for c in [c for c in left if sizes[c] <= room]:
+            upto += sizes[c]
+            if upto - sizes[c] / 2 < room:
+                want[c] = split
+        left = [c for c in left if want[c] == "train"]
+    rows = spark.createDataFrame(list(sizes.items()), "component string, documents long")
+    earlier = spark.createDataFrame([], "component string, split string")
+    monkeypatch.setattr(type(rows), "repartitionByRange", lambda *_: pytest.fail("ranges are found by sampling keys into the driver"))
+    got = {r.component: r.split for r in grouped_split.assign_splits(rows, earlier).collect()}
+    assert got == want and set(got.values()) == set(grouped_split.SHARES)
+
+
 # --- 6 ---
 
 
