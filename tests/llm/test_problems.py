@@ -314,6 +314,22 @@ def test_the_deal_samples_no_keys_into_the_driver(spark, monkeypatch):
     assert got == want and set(got.values()) == set(grouped_split.SHARES)
 
 
+def test_components_are_neither_copied_nor_broadcast(spark, monkeypatch):
+    """Documents find their component and split over a join whose larger side is sent once, also those of a hot anchor."""
+    sources = spark.createDataFrame([(f"s{i}", f"owner{i // 3}") for i in range(30)], SOURCES)
+    rows = [doc(i, f"d{i}", "s0" if i % 3 else f"s{i % 30}", author=f"a{i % 7}" if i % 11 == 0 else None) for i in range(300)]
+    nodes = grouped_split.document_nodes(spark.createDataFrame(rows, DOCS), sources)
+    want = {tuple(r) for r in grouped_split.ComponentTable().update(nodes, sources).collect()}
+    groups = {tuple(r) for r in grouped_split.cross_source_groups(grouped_split.ComponentTable().update(nodes, sources, with_splits=False)).collect()}
+    monkeypatch.setattr(grouped_split, "BROADCAST", 0, raising=False)
+    attach = grouped_split.attach
+    monkeypatch.setattr(grouped_split, "attach", lambda *a, **k: attach(*a, **(k | {"hot": 50})))
+    monkeypatch.setattr(grouped_split, "lookup", lambda *_: pytest.fail("a side is repeated for every row"))
+    assert {tuple(r) for r in grouped_split.ComponentTable().update(nodes, sources).collect()} == want and len(want) == 300
+    grouped = grouped_split.ComponentTable().update(nodes, sources, with_splits=False)
+    assert {tuple(r) for r in grouped_split.cross_source_groups(grouped).collect()} == groups and groups
+
+
 # --- 6 ---
 
 
