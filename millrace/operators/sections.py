@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions.scoring import python_tokens
 from millrace.functions.semantic import classify, concepts
 from millrace.functions.text import HEADING, PIECE, WS, content_hash, sections, strip
+from millrace.runtime import materialize
 
 
 def _pack(paragraphs: Column, cost, limit: int, joined: bool) -> Column:
@@ -22,16 +23,18 @@ def _pack(paragraphs: Column, cost, limit: int, joined: bool) -> Column:
     tokens = lambda n: F.when(n > 0, F.greatest(F.lit(1), F.floor(n * F.lit(1.3)))).otherwise(0).cast("long")
     start = F.struct(F.array().cast("array<string>").alias("done"), F.array().cast("array<string>").alias("open"), F.lit(0).cast("long").alias("load"))
 
-    def step(state: Column, p: Column) -> Column:
-        load = state["load"] + cost(p)
+    def step(state: Column, x: Column) -> Column:
+        p, own = x["p"], x["cost"]
+        load = state["load"] + own
         over = (F.size(state["open"]) > 0) & ((tokens(load) if joined else load) > limit)
         return F.when(
             over,
-            F.struct(F.concat(state["done"], F.array(F.array_join(state["open"], "\n\n"))).alias("done"), F.array(p).alias("open"), cost(p).cast("long").alias("load")),
-        ).otherwise(F.struct(state["done"].alias("done"), F.concat(state["open"], F.array(p)).alias("open"), load.cast("long").alias("load")))
+            F.struct(F.concat(state["done"], F.array(F.array_join(state["open"], "\n\n"))).alias("done"), F.array(p).alias("open"), own.alias("load")),
+        ).otherwise(F.struct(state["done"].alias("done"), F.concat(state["open"], F.array(p)).alias("open"), load.alias("load")))
 
     end = lambda s: F.when(F.size(s["open"]) > 0, F.concat(s["done"], F.array(F.array_join(s["open"], "\n\n")))).otherwise(s["done"])
-    return F.aggregate(paragraphs, start, step, end)
+    costs = F.transform(paragraphs, lambda p: F.struct(p.alias("p"), cost(p).cast("long").alias("cost")))  # once a paragraph
+    return F.aggregate(costs, start, step, end)
 
 
 def sectionize(docs: DataFrame, limit: int = 2400) -> DataFrame:
@@ -47,16 +50,17 @@ def sectionize(docs: DataFrame, limit: int = 2400) -> DataFrame:
     words = lambda p: F.regexp_count(p, F.lit(PIECE)).cast("long")
     kept = F.filter(F.transform(sections(F.col("text")), strip), lambda p: p != "")
     chunks = lambda p: _pack(F.split(p, "\n{2,}"), words, limit, joined=True)
-    parts = F.flatten(F.transform(kept, lambda p: F.transform(chunks(p), lambda c: F.struct(heading(p).alias("title"), c.alias("text")))))
-    one = F.array(F.struct(F.col("title"), F.col("text")))
-    rows = docs.select(F.col("id").alias("parent_id"), whole.alias("whole"), F.posexplode(F.when(whole, one).otherwise(parts)).alias("section_index", "part"))
+    parts = F.flatten(F.transform(kept, lambda p: F.transform(chunks(p), lambda c: F.struct(heading(p).alias("title"), c.alias("text"), F.lit(False).alias("whole")))))
+    one = F.array(F.struct(F.col("title"), F.col("text"), F.lit(True).alias("whole")))
+    # `whole` travels in the parts: beside the generator it would be counted again in the document's text for every section
+    rows = docs.select(F.col("id").alias("parent_id"), F.posexplode(F.when(whole, one).otherwise(parts)).alias("section_index", "part"))
     carried = F.last("part.title", ignorenulls=True).over(Window.partitionBy("parent_id").orderBy("section_index"))
     digest = F.substring(content_hash(F.concat_ws(":", "parent_id", F.col("section_index").cast("string"), "part.text")), 1, 16)
     return rows.select(
-        F.when(F.col("whole"), F.col("parent_id")).otherwise(digest).alias("id"),
+        F.when(F.col("part.whole"), F.col("parent_id")).otherwise(digest).alias("id"),
         "parent_id",
         "section_index",
-        F.when(F.col("whole"), F.col("part.title")).otherwise(carried).alias("section_title"),
+        F.when(F.col("part.whole"), F.col("part.title")).otherwise(carried).alias("section_title"),
         F.col("part.text").alias("text"),
     )
 
@@ -94,7 +98,7 @@ def merge_sections(parts: DataFrame, limit: int = 2400) -> DataFrame:
     text = F.col("text")
     marked = parts.withColumn("related_concepts", concepts(text)).withColumn("file", F.sha2(F.concat_ws("\x00", "source_id", F.coalesce("relative_path", F.concat(F.lit("\x00"), "id"))), 256))
     marked = marked.withColumn("primary_category", classify(text, F.col("related_concepts"), F.col("category_hint"))["category"])
-    marked = marked.withColumn("words", F.regexp_count(text, F.lit(PIECE)))
+    marked = materialize(marked.withColumn("words", F.regexp_count(text, F.lit(PIECE))), "marked_sections")  # read for the runs and for their texts
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         run: dict = {"file": None}

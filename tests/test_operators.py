@@ -168,6 +168,19 @@ def test_merging_of_neighbours(spark):
     assert all(len(r.section_ids) == 1 for r in sections.merge_sections(d, 2).collect())
 
 
+def test_a_document_is_counted_once_and_not_for_every_section(spark):
+    d = spark.createDataFrame([("d", "t", "\n\n".join(f"# h{i}\n\n" + "word " * 40 for i in range(20)))], "id string, title string, text string")
+    parts = sections.sectionize(d, 60)
+    above = parts._jdf.queryExecution().optimizedPlan().toString().split("Generate posexplode")[0]
+    assert "regexp_extract_all" not in above and parts.count() == 20
+
+
+def test_sections_are_marked_once(spark):
+    d = spark.createDataFrame([("a", "s", "f", 0, "consensus now", "x"), ("b", "s", "f", 1, "consensus then", "x")], "id string, source_id string, relative_path string, section_index int, text string, category_hint string")
+    plan = sections.merge_sections(d, 20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan and "LogicalRDD" not in plan  # the sections' own plan is not in there twice
+
+
 def test_balance_lowers_concentration(spark):
     rows = [(f"a{i}", "s1", "c", "o", 100, 0.5 + 0.04 * i) for i in range(10)] + [(f"b{i}", f"t{i}", f"k{i}", f"p{i}", 100, 0.8) for i in range(4)]
     d = spark.createDataFrame(rows, "id string, source_id string, category string, organization string, tokens long, score double")
